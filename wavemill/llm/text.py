@@ -102,10 +102,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     letters = _FOLDED if fold else _LETTERS
     out, first = np.empty(len(starts), np.uint64), 0
     while first < len(starts):
-        low = starts[first]
+        low = int(starts[first])
         last = max(first + 1, int(np.searchsorted(ends, low + SEGMENT, "right")))
         high = int(ends[first:last].max())
-        powers, inverse = _power_tables(high - low)
+        powers, inverse = _power_tables(int(high - low))
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum(letters[data[low:high]] * powers[: high - low], out=sums[1:])
         at = starts[first:last] - low
