@@ -213,7 +213,8 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
     digests = materialise(_digests(docs, id_col, text_col, words, percent), "digests")
     classes = digests.where("n > 0 and id is not null").groupBy("n", "one", "two").agg(F.min(F.struct("id", "bits", "lead")).alias("r"))
     classes = materialise(classes.select(F.col("r.id").alias("id"), "n", "one", "two", F.col("r.bits").alias("bits"), F.col("r.lead").alias("lead")), "classes")
-    kinds = digests.select("id", "n", "one", "two")
+    kinds = materialise(digests.select("id", "n", "one", "two"), "kinds")
+    discard(digests)
 
     keys = classes.select("id", "n", F.explode("lead").alias("h"))
     shared = keys.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("hub")).where("rows > 1")
@@ -227,17 +228,21 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
     parts = materialise(connected_components(first), "parts")
 
     rows = tiles.join(parts.select(F.col("node").alias("id"), F.col("component").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
-    rows = materialise(rows.select("h", "id", "n", "rows", "part"), "rows")
-    mixed = rows.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h")
-    rows = rows.join(mixed.hint("shuffle_hash"), "h", "left_semi").withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
+    marked = materialise(rows.select("h", "id", "n", "rows", "part"), "rows")
+    mixed = marked.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h")
+    rows = marked.join(mixed.hint("shuffle_hash"), "h", "left_semi").withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(bits.select("id", "bits"), "id")
     rows = rows.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "part", "bits")
     rows = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n")
-    second = _verified(materialise(_tile_pairs(rows, percent), "pairs"), docs, id_col, text_col, words, percent)
+    pairs = materialise(_tile_pairs(rows, percent), "pairs")
+    second = _verified(pairs, docs, id_col, text_col, words, percent)
 
     copies = kinds.join(classes.select(F.col("id").alias("to"), "n", "one", "two"), ["n", "one", "two"]).where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b"))
     edges = first.select("a", "b").unionByName(second).unionByName(copies)
-    found = connected_components(edges).select(F.col("node").alias("id"), F.col("component").alias("found"))
+    components = connected_components(edges)
+    for done in (classes, tiles, stars, first, parts, marked, pairs, second):
+        discard(done)
+    found = components.select(F.col("node").alias("id"), F.col("component").alias("found"))
     out = kinds.select("id", "n").join(found, "id", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("found", "id").alias("component_id"))

@@ -5,17 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemill.llm.bpe import bpe_digest
 from wavemill.llm.chat import prefix_targets, read_back
 from wavemill.llm.common import scratch_path
+from wavemill.llm.embed_dedup import embedding_components
 from wavemill.llm.jaccard import jaccard_components
-from wavemill.llm.mixing import mixing_plan, training_order
+from wavemill.llm.langid import fit_trigrams, fuse_evidence, page_evidence
+from wavemill.llm.mixing import mixing_plan
+from wavemill.llm.token_counts import sentencepiece_vocabulary, word_piece_counts
 from wavemill.llm.token_orc import token_offsets, write_token_orc
+from wavemill.llm.topk import top_k
+from wavemill.llm.toxicity import fit_toxicity, score_toxicity
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -23,11 +29,44 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece tokens of every document: doc_id, n_words, n_tokens, n_unknown."""
+    return word_piece_counts(_table(spark, sf_dir, "documents"), sentencepiece_vocabulary(PIECES))
+
+
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every 20th vector: query_id, rank, vec_id, score."""
+    rows = _table(spark, sf_dir, "embeddings").where(usable_or_zero("embedding"))
+    rows = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double"))).alias("vector"))
+    return top_k(rows.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), rows, 20)
+
+
+def usable_or_zero(name: str) -> Column:
+    """Whether a vector is there and holds finite numbers only; unlike for a cosine it may be all zero."""
+    fine = F.forall(name, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.col(name).isNotNull() & F.coalesce(fine, F.lit(False))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     return bpe_digest(_table(spark, sf_dir, "documents"), MULTI_RANKS)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model that learns from four fifths of the labels: doc_id, held_out, score, predicted."""
+    docs = _table(spark, sf_dir, "documents")
+    scores = score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+    return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language from all its evidence: page_id, lang, probability, text_lang, declared, suffix, host."""
+    model = fit_trigrams(_table(spark, sf_dir, "documents"))
+    found = fuse_evidence(page_evidence(_table(spark, sf_dir, "pages")), model)
+    return found.withColumnRenamed("id", "page_id").drop("per_gram")
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written as ORC and read back: doc_id, start, n_tokens, ids_crc32."""
     path = scratch_path(spark, "token-orc")
@@ -49,6 +88,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(prefix_targets(turns.unionByName(more)))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of equal labels linked at a cosine of 0.93: vec_id, n_links, component_id, kept."""
+    return embedding_components(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes of every document: doc_id, size, source_size, target, taken."""
     plan = mixing_plan(_table(spark, sf_dir, "documents"))
@@ -56,14 +100,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_toxicity": op4_toxicity,
+    "op5_language_id": op5_language_id,
     "op6_token_orc": op6_token_orc,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_chat_format": op8_chat_format,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(q.v, r.v) AS BIGINT) AS score
+  FROM rows q JOIN rows r ON r.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op7_ngram_jaccard": """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -96,6 +154,20 @@ laid AS (
 SELECT doc_id, size, source_size, target,
   CAST(size * CASE WHEN size > 0 AND middle <= target THEN least(3, floor((target - middle) / source_size) + 1) ELSE 0 END AS BIGINT) AS taken
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source""",
+    "op9_embedding_dedup": """
+WITH RECURSIVE rows AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+whole AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM rows),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM whole a JOIN whole b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY 1),
+degrees AS (SELECT x, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(degrees.n, 0) AS n_links, least(vec_id, coalesce(low.y, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low.y, vec_id)) AS kept
+FROM embeddings LEFT JOIN low ON low.x = vec_id LEFT JOIN degrees ON degrees.x = vec_id""",
     "op8_chat_format": """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
