@@ -1,14 +1,66 @@
-"""From raw documents to encoded training text, in stages that each read what the one before wrote."""
+"""From raw documents to encoded training text, in stages that each read what the one before wrote.
+
+Language ID and toxicity reject documents, the n-gram Jaccard join keeps one of each group of near copies, the mix takes each
+source to its target weight, repeating documents where it must, and byte-level BPE encodes what is left. All stages but
+the last return the columns of ``documents``. Rows that share a doc_id are judged together: they go only if all of them are
+rejected.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wavemill.llm.bpe import bpe_digest
 from wavemill.llm.common import materialise
+from wavemill.llm.jaccard import jaccard_components
+from wavemill.llm.langid import NOISE, document_evidence, fit_trigrams, fuse_evidence
+from wavemill.llm.mixing import mix_documents
 from wavemill.llm.queries import MULTI_RANKS
+from wavemill.llm.toxicity import fit_toxicity, score_toxicity
+
+#: Rejected ids of this number at most are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def _without(docs: DataFrame, verdicts: DataFrame, rejected: Column) -> DataFrame:
+    """The documents but those of which all verdicts (doc_id, ...) are ``rejected``."""
+    gone = verdicts.groupBy(F.col("doc_id").alias("__id")).agg(F.min(F.coalesce(rejected, F.lit(False))).alias("__gone")).where("__gone").select("__id")
+    gone = materialise(gone, "rejected")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents of no language: without text, of no probable language, or likelier noise than any language."""
+    model = fit_trigrams(docs)
+    found = fuse_evidence(document_evidence(docs), model).withColumnRenamed("id", "doc_id")
+    none = F.col("per_gram").isNull() | (F.col("per_gram") < NOISE) | (F.col("probability") < 0.5)
+    return _without(docs, found, none)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that the classifier, learned from the labelled ones of them, takes for toxic."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, score_toxicity(docs, model), F.col("predicted") == 1)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group at a Jaccard similarity of 0.8 on five words, and one row of it."""
+    kept = _without(docs, jaccard_components(docs, words=5, percent=80), F.col("component_id") != F.col("doc_id"))
+    again = materialise(kept.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"), "again")
+    if again.isEmpty():
+        return kept
+    same = F.col("doc_id") == F.col("__id")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes sources to their target weights: documents repeat or go as the mix says, in training order."""
+    return mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +69,14 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("toxicity", toxicity),
+    ("ngram_jaccard", near_copies),
+    ("mixing", mixing),
     ("byte_bpe", encode),
 ]
 
+#: The learned stages can't be put in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
