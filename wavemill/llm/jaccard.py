@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +21,9 @@ TILE_ROWS = 2048
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """Bitmap of a set, at least twice as many bits as members, so that a wider one folds into a narrower."""
+    """Bitmap of a set, of a power of two and at least four bits for each member; a wider one folds into a narrower."""
     width = 64
-    while width < 2 * len(hashes):
+    while width < 4 * len(hashes):
         width *= 2
     bits = np.zeros(width, np.uint8)
     bits[(hashes >> np.uint64(17)) & np.uint64(width - 1)] = 1
@@ -144,25 +145,27 @@ def _stars(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs within tiles (h, i, j) of rows in different parts that sizes and bitmaps let be similar.
+    """Pairs within tiles (h, band, i, j) of rows in different parts that sizes and bitmaps let be similar.
 
     Rows arrive sorted by tile and size, and each is compared with those after it as long as the size allows, for all
     tiles of a batch at once: offset 1, offset 2, and so on. The last tile of a batch waits for the next batch.
     """
+    keys = 4
 
     def compare(table: pa.RecordBatch) -> pa.RecordBatch:
         if not table.num_rows:
             return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, ["a", "b"])
-        h, i, j, block, id_, n, part = (np.asarray(table.column(k)) for k in range(7))
-        maps, left, right = _Bitmaps(table.column(7)), [], []
+        h, band, i, j, block, id_, n, part, own = (np.asarray(table.column(k)) for k in range(9))
+        tile = np.concatenate([[0], np.cumsum((h[1:] != h[:-1]) | (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))])
+        maps, left, right = _Bitmaps(table.column(9)), [], []
         live, step = np.arange(len(h)), 1
         while len(live):
             live = live[live + step < len(h)]
             far = live + step
-            same = (h[live] == h[far]) & (i[live] == i[far]) & (j[live] == j[far]) & (100 * n[live].astype(np.int64) >= percent * n[far].astype(np.int64))
+            same = (tile[live] == tile[far]) & (100 * n[live].astype(np.int64) >= percent * n[far].astype(np.int64))
             live, far = live[same], far[same]
-            # in a tile of two blocks only pairs across them are due: each block has a tile of its own
-            due = np.flatnonzero((part[live] != part[far]) & ((i[live] == j[live]) | (block[live] != block[far])))
+            # pairs of the lower band are due in that band's tile, pairs of one block in the block's own tile
+            due = (part[live] != part[far]) & (own[live] | own[far]) & ((i[live] == j[live]) | (block[live] != block[far]))
             a, b = live[due], far[due]
             fit = _possible(n[a], n[b], maps, maps, a, b, percent)
             left.append(id_[a[fit]])
@@ -177,14 +180,16 @@ def _tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = [np.asarray(batch.column(k)) for k in range(3)]
-            last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
+            other = np.zeros(batch.num_rows, bool)
+            for k in range(keys):
+                column = np.asarray(batch.column(k))
+                other |= column != column[-1]
+            last = np.flatnonzero(other)
             cut = int(last[-1]) + 1 if len(last) else 0
             held.append(batch.slice(0, cut))
             first = held[0] if held[0].num_rows else batch
-            if cut or any(first.column(k)[0] != batch.column(k)[-1] for k in range(3)):
-                whole = pa.Table.from_batches(held).combine_chunks().to_batches()
-                yield from map(compare, whole)
+            if cut or any(first.column(k)[0] != batch.column(k)[-1] for k in range(keys)):
+                yield from map(compare, pa.Table.from_batches(held).combine_chunks().to_batches())
                 held = []
             held.append(batch.slice(cut))
         if held:
@@ -204,10 +209,10 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
 
     Two sets A and B that similar share ``percent`` % of the larger, so they share one of the A - ceil(percent A / 100) + 1
     smallest hashes of each: documents with such a hash in common form a tile, sorted by size. Equal sets are first folded
-    into one. In each tile all are compared with its smallest id, and what that links is merged; then only pairs in
-    different parts are left, and tiles where such are found are compared in full, in blocks of bounded size: by band of
-    sizes, by bitmap counts, and by exact intersection. So no link between different parts is lost and few pairs are made
-    within a large group of near copies.
+    into one. Those with a hash in common with others are first compared with the smallest id of these, and what that links is
+    merged. Then only pairs in different parts are left: where a hash and a band of sizes has such, its rows form a tile (or
+    several, of bounded size), and all pairs in it are bounded by size and bitmap counts; what passes is intersected
+    exactly. So no link between different parts is lost, and few pairs are made within a large group of near copies.
     """
     spark = docs.sparkSession
     digests = materialise(_digests(docs, id_col, text_col, words, percent), "digests")
@@ -223,18 +228,23 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
     bits = classes.select("id", "n", "bits")
     stars = tiles.where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     stars = stars.join(bits.toDF("a", "n_a", "bits_a"), "a").join(bits.toDF("b", "n_b", "bits_b"), "b")
-    stars = materialise(_stars(stars, percent).groupBy("a").agg(F.min("b").alias("b")), "stars")
+    stars = materialise(_stars(stars, percent), "stars")
     first = _verified(stars, docs, id_col, text_col, words, percent)
     parts = materialise(connected_components(first), "parts")
 
-    rows = tiles.join(parts.select(F.col("node").alias("id"), F.col("component").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
-    marked = materialise(rows.select("h", "id", "n", "rows", "part"), "rows")
-    mixed = marked.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h")
-    rows = marked.join(mixed.hint("shuffle_hash"), "h", "left_semi").withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
+    # sizes of a similar pair are in the same band or in neighbouring ones; the base is a little wider than the least ratio
+    band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
+    rows = tiles.where("rows > 2 and id != hub").select("h", "id", "n")
+    rows = rows.join(parts.select(F.col("node").alias("id"), F.col("component").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
+    rows = rows.withColumn("own_band", band).withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
+    marked = materialise(rows, "rows")
+    mixed = marked.groupBy("h", "band").agg(F.count(F.lit(1)).alias("rows"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    rows = marked.join(mixed.select("h", "band", "rows").hint("shuffle_hash"), ["h", "band"]).withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(bits.select("id", "bits"), "id")
-    rows = rows.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "part", "bits")
-    rows = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n")
+    tile = ["h", "band", "i", "j"]
+    rows = rows.select("h", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "part", (F.col("band") == F.col("own_band")).alias("own"), "bits")
+    rows = rows.repartition(*tile).sortWithinPartitions(*tile, "n")
     pairs = materialise(_tile_pairs(rows, percent), "pairs")
     second = _verified(pairs, docs, id_col, text_col, words, percent)
 
