@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
@@ -143,16 +144,20 @@ class TextEncoder:
     """Ids of whole texts as little-endian 32-bit integers, from a function that encodes one pre-token.
 
     A pre-token always ends before a space that is followed by another kind of character, so a text is cut there, and
-    what each cut and each pre-token gave is remembered, within a bound.
+    what each cut gave is remembered, within a bound. A cut that isn't one pre-token is put together from those it has, and
+    those that begin with a space are cuts themselves.
     """
 
-    def __init__(self, encode_pretoken: Callable[[str], bytes], pattern: str = PRETOKEN, limit: int = 200_000) -> None:
-        self.split = regex.compile(pattern).findall
-        self.pretokens = _Memory(encode_pretoken, limit)
-        self.cuts = _Memory(lambda cut: self._encode(" " + cut), limit)
+    def __init__(self, encode_pretoken: Callable[[str], bytes], pattern: str = PRETOKEN, limit: int = 400_000) -> None:
+        self.split, self.encode_pretoken = regex.compile(pattern).findall, encode_pretoken
+        self.cuts, self.others = _Memory(self._cut, limit), _Memory(encode_pretoken, limit // 8)
 
-    def _encode(self, text: str) -> bytes:
-        return b"".join(map(self.pretokens.__getitem__, self.split(text)))
+    def _cut(self, cut: str) -> bytes:
+        pretokens = self.split(" " + cut)
+        return self.encode_pretoken(pretokens[0]) if len(pretokens) == 1 else self._joined(pretokens)
+
+    def _joined(self, pretokens: list[str]) -> bytes:
+        return b"".join([self.cuts[p[1:]] if p[0] == " " and len(p) > 1 else self.others[p] for p in pretokens])
 
     def encode(self, text: str) -> bytes:
         cuts = text.split(" ")
@@ -164,7 +169,7 @@ class TextEncoder:
                 else:
                     joined[-1] += " " + cut
             cuts = joined
-        return self._encode(cuts[0]) + b"".join(map(self.cuts.__getitem__, cuts[1:]))
+        return self._joined(self.split(cuts[0])) + b"".join(map(self.cuts.__getitem__, cuts[1:]))
 
 
 _encoders: dict[str, tuple[BytePairs, TextEncoder, list[str]]] = {}
@@ -175,7 +180,7 @@ def _encoder(content: bytes) -> tuple[BytePairs, TextEncoder, list[str]]:
     key = hashlib.sha256(content).hexdigest()
     if key not in _encoders:
         pairs = BytePairs.parse(content)
-        text = TextEncoder(lambda s: np.array(pairs.encode_piece(s.encode()), "<u4").tobytes())
+        text = TextEncoder(lambda s: array("I", pairs.encode_piece(s.encode())).tobytes())
         _encoders[key] = pairs, text, [str(x) for x in range(pairs.span)]
     return _encoders[key]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,10 +29,14 @@ def _tokenizer(content: str) -> tuple:
         library = Tokenizer.from_str(content)
         added = tuple(token.content for token in library.get_added_tokens_decoder().values())
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # how the library writes each byte as a character
+        letters = {b: spell(chr(b))[0][0][-1] for b in range(128)} | {b: spell(bytes([0xC3, b]).decode())[0][0][-1] for b in range(0x80, 0xC0)}
+        letters |= {b: spell(chr((b & 31) << 6))[0][0][0] for b in range(0xC2, 0xE0)} | {b: spell(chr(max((b & 15) << 12, 0x800)))[0][0][0] for b in range(0xE0, 0xF0)}
+        letters |= {b: spell(chr(max((b & 7) << 18, 0x10000)))[0][0][0] for b in range(0xF0, 0xF5)}
+        tokenize = library.model.tokenize
 
         def pretoken(text: str) -> bytes:
-            spelled = spell(text)[0][0] if not text.isascii() or text.isspace() or text[0] == " " else text
-            return np.array([token.id for token in library.model.tokenize(spelled)], "<u4").tobytes()
+            return array("I", [token.id for token in tokenize(text.encode().decode("latin-1").translate(letters))]).tobytes()
 
         plain = TextEncoder(pretoken, PRETOKEN)
 
