@@ -140,14 +140,16 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 20, *, shard_rows: int =
             found = (np.zeros(0, np.int64),) * 3
         else:
             dim = some["dim"][0].as_py()
-            matrix = lambda t: np.asarray(t["vector"].combine_chunks().flatten()).reshape(-1, dim)
-            found = search_shard(np.asarray(some["query_id"]), matrix(some), np.asarray(some["floor"]), np.asarray(own["vec_id"]), matrix(own), k)
+            matrix = lambda t: np.asarray(t.combine_chunks().flatten()).reshape(-1, dim)
+            found = search_shard(np.asarray(some["query_id"]), matrix(some["vector"]), np.asarray(some["floor"]), np.asarray(own["vec_id"]), matrix(own["row_vector"]), k)
         return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
     def pass_over(some: DataFrame, own: DataFrame) -> DataFrame:
         key = ["dim", "block", "shard"]
         some = some.select("query_id", "vector", "floor", *key)
-        return some.groupBy(*key).cogroup(own.select("vec_id", "vector", *key).groupBy(*key)).applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+        # other names than those of the queries, which may come from the same table
+        own = own.select("vec_id", F.col("vector").alias("row_vector"), *(F.col(c).alias(f"row_{c}") for c in key))
+        return some.groupBy(*key).cogroup(own.groupBy(*(f"row_{c}" for c in key))).applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
 
     lowest = F.lit(-(1 << 62)).cast("long")
     first = materialise(pass_over(queries.withColumns({"floor": lowest, "shard": F.lit(0)}), rows.where("shard = 0")), "first-shard")
