@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wavemill import schemas
 from wavemill.operators.annotate import map_annotations
 from wavemill.operators.model import CentroidModel, fit_nearest_centroid, matrix_of, score, sign_projection_rows
 from wavemill.operators.split import SplitConfig, grouped_split
@@ -46,7 +47,7 @@ def annotations(spark: SparkSession, sf: str) -> DataFrame:
 
 def mapping(spark: SparkSession) -> DataFrame:
     rows = [("view", "normal", 0, False), ("click", "normal", 0, False), ("purchase", "other", 1, False), ("error", "other", 1, False), ("signup", None, None, True)]
-    return spark.createDataFrame(rows, "symbol string, target_name string, target_value int, excluded boolean")
+    return spark.createDataFrame(rows, schemas.MAPPING)
 
 
 def mapped(spark: SparkSession, sf: str) -> DataFrame:

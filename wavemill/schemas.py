@@ -7,5 +7,5 @@ ANNOTATIONS = "record_id string, ordinal bigint, sample_index bigint, symbol str
 MAPPING = "symbol string, target_name string, target_value int, excluded boolean"
 WINDOWS = "record_id string, ordinal bigint, center_sample_index bigint, source_symbol string, target_value int, window array<double>"
 FILES = "path string, size_bytes bigint, sha256 string"
-MANIFEST = f"schema_version int, dataset string, files array<struct<{FILES.replace(' ', ': ').replace(',: ', ', ')}>>"
+MANIFEST = "schema_version int, files array<struct<path: string, size_bytes: bigint, sha256: string>>"
 VIOLATIONS = "check string, partition string, severity string, message string"

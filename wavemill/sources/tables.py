@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavemill import schemas
 from wavemill.functions.scalars import all_finite
 
 
@@ -18,8 +19,7 @@ def scan_records(spark: SparkSession, path: str, schema: str, configured: DataFr
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Files of JSON manifests: schema_version, path, size_bytes, sha256; malformed JSON fails the read."""
-    schema = "schema_version int, files array<struct<path: string, size_bytes: bigint, sha256: string>>"
-    rows = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", True).json(path)
+    rows = spark.read.schema(schemas.MANIFEST).option("mode", "FAILFAST").option("multiLine", True).json(path)
     return rows.select("schema_version", F.inline("files"))
 
 
