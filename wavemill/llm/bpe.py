@@ -14,6 +14,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from wavemill.llm.common import whole_text_batches
+
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BITS = [1 << k for k in range(256)]
 #: A space that the next character does not take as its own.
@@ -203,6 +205,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
             ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)], ["id", "ids"])
 
+    whole_text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
 
@@ -240,6 +243,7 @@ def bpe_digest(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
                 of_bytes.append(hashlib.sha256(pairs.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["id", "n", "a", "b"])
 
+    whole_text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(digest, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 

@@ -19,6 +19,13 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def whole_text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches of whole texts have ``rows`` rows at most, for the memory of workers; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/wavemill/{label}-{uuid.uuid4().hex}"
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavemill.llm.common import materialise
+from wavemill.llm.common import materialise, whole_text_batches
 from wavemill.llm.text import row_groups, utf8
 
 BUCKETS = 1 << 16
@@ -71,6 +71,7 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(total[some])], ["lang", "bucket", "n"])
 
+    whole_text_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     chosen = rows.select(F.col(id_col).alias("__id")).orderBy(F.xxhash64(F.lit(5), F.col("__id"))).limit(sample_rows)
     sample = rows.join(F.broadcast(chosen.distinct()), F.col(id_col) == F.col("__id")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -97,6 +98,7 @@ def text_evidence(rows: DataFrame, model: TrigramModel) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(high - low + 1) * logs.shape[1], pa.int32()), pa.array(logs.ravel()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(low, high - low) for k in range(len(others))), lists, pa.array(grams.astype(np.int64))], [*others, "logs", "grams"])
 
+    whole_text_batches(rows.sparkSession)
     return rows.select(*others, "text").mapInArrow(score, f"{kinds}, logs array<double>, grams bigint")
 
 

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavemill.llm.common import whole_text_batches
+
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
 #: Marks the beginning of a word in the vocabulary.
 WORD_START = "▁"
@@ -130,5 +132,6 @@ def word_piece_counts(docs: DataFrame, vocabulary: Iterable[str], *, id_col: str
                 unknown.append(bad)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (words, tokens, unknown))], ["id", "w", "t", "u"])
 
+    whole_text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(count, f"`{id_col}` {kind}, n_words bigint, n_tokens bigint, n_unknown bigint")
