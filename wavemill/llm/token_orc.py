@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import zlib
 from array import array
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wavemill.llm.bpe import PRETOKEN, TextEncoder
+from wavemill.llm.common import whole_text_batches
 
 SCHEMA = "doc_id bigint, part int, first bigint, n_tokens bigint, ids array<int>"
 _tokenizers: dict[str, tuple] = {}
@@ -36,7 +38,9 @@ def _tokenizer(content: str) -> tuple:
         tokenize = library.model.tokenize
 
         def pretoken(text: str) -> bytes:
-            return array("I", [token.id for token in tokenize(text.encode().decode("latin-1").translate(letters))]).tobytes()
+            word = text[1:]
+            spelled = "\u0120" + word if text[0] == " " and word.isascii() and word.isalnum() else text.encode().decode("latin-1").translate(letters)
+            return array("I", [token.id for token in tokenize(spelled)]).tobytes()
 
         plain = TextEncoder(pretoken, PRETOKEN)
 
@@ -68,6 +72,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, *, end_id:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first = TaskContext.get().partitionId(), 0
         _, encoder = _tokenizer(content.value)
+        gc.disable()  # the library's tokens are many and never in cycles
         for batch in batches:
             found = [encoder(text.as_py() or "") + end for text in batch.column(1)]
             counts = np.array([len(x) // 4 for x in found], np.int64)
@@ -78,7 +83,9 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, *, end_id:
                 ["doc_id", "part", "first", "n_tokens", "ids"],
             )
             first += int(offsets[-1])
+        gc.enable()
 
+    whole_text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     writer = rows.select("doc_id", "text").mapInArrow(encode, SCHEMA).write
