@@ -1,6 +1,7 @@
 import numpy as np
 
 from tests.llm.conftest import union_components
+from wavemill.llm import embed_dedup
 from wavemill.llm.embed_dedup import embedding_components
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
@@ -45,3 +46,13 @@ def test_clashing_columns_null_ids_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, [1.0, 0.0], 1, 5), (1, [1.0, 0.0], 1, 6)], SCHEMA + ", copies int")
     assert sorted(map(repr, embedding_components(rows).collect())) == sorted(map(repr, [(None, 0, None, True), (1, 0, 1, True)])) or [tuple(r) for r in embedding_components(rows).orderBy("vec_id").collect()] == [(None, 0, None, True), (1, 0, 1, True)]
     assert embedding_components(rows.limit(0)).collect() == []
+
+
+def test_groups_larger_than_a_chunk(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "CHUNK_ROWS", 64)
+    rng = np.random.default_rng(6)
+    base, rows = rng.standard_normal(24), []
+    for spread, label, size in ((1e-4, 1, 500), (0.2, 1, 200), (0.05, 2, 300)):
+        rows += [(len(rows) + k, (base + rng.standard_normal(24) * spread).astype(np.float32).tolist(), label) for k in range(size)]
+    got = {tuple(r) for r in embedding_components(spark.createDataFrame(rows, SCHEMA), window=4, passes=6).collect()}
+    assert got == brute(rows)
