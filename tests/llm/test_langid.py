@@ -44,3 +44,14 @@ def test_empty_tables_and_repeats(spark, model):
     assert len(fuse_evidence(rows, model).collect()) == 2
     empty = fit_trigrams(spark.createDataFrame([], "doc_id bigint, text string, lang string"))
     assert empty.languages == ["und"]
+
+
+def test_rare_languages_are_in_a_bounded_fit(spark):
+    rows = [(k, f"the {k} of and", "en") for k in range(400)] + [(1000 + k, f"{k} ska och att", f"r{k}") for k in range(5)] + [(None, "zonder nummer", "nl")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = fit_trigrams(docs, sample_rows=10)
+    assert model.languages == ["en", "nl", "r0", "r1", "r2", "r3", "r4"]
+    alone, every = (fit_trigrams(docs.where("lang = 'en'"), sample_rows=n) for n in (10, 1000))
+    assert (model.weights[:, 0] == alone.weights[:, 0]).all() and (alone.weights != every.weights).any()
+    rows = spark.createDataFrame([(1, None, None, None, None, "3 ska och att")], "id bigint, declared string, suffix string, host string, site string, text string")
+    assert fuse_evidence(rows, model).first().text_lang == "r3"

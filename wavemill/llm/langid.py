@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavemill.llm.common import materialise, whole_text_batches
@@ -55,8 +55,10 @@ class TrigramModel:
 
 
 def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = 8000) -> TrigramModel:
-    """Fit on a bounded sample of ``sample_rows`` labelled texts (the first by a hash of their ids), whole.
+    """Fit on up to ``sample_rows`` labelled texts of each language (the first by a hash of their ids), whole.
 
+    Every language that labels a text is drawn from by itself, so a rare one is in the model at any size of the table. A
+    text without an id is drawn by its own hash; texts that share an id are drawn together.
     Counts are grouped by language and bucket on the executors; the driver gets one number for each.
     """
 
@@ -73,8 +75,16 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
 
     whole_text_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    chosen = rows.select(F.col(id_col).alias("__id")).orderBy(F.xxhash64(F.lit(5), F.col("__id"))).limit(sample_rows)
-    sample = rows.join(F.broadcast(chosen.distinct()), F.col(id_col) == F.col("__id")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    draw = F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(5), F.col(text_col))).otherwise(F.xxhash64(F.lit(5), F.col(id_col)))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
+    # of a language with more texts, about twice as many as wanted are ranked
+    share = (2.0 * sample_rows + 100) / F.col("n")
+    below = F.when(share < 1, (F.lit(-(2.0**63)) + share * 2.0**64).cast("long")).otherwise(F.lit(2**63 - 1))
+    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", below.alias("below"))
+    ranked = rows.select("lang", "draw").join(F.broadcast(shares), "lang").where("draw <= below")
+    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("place") <= sample_rows)
+    last = materialise(ranked.groupBy("lang").agg(F.max("draw").alias("last")), "drawn")
+    sample = rows.join(F.broadcast(last), "lang").where("draw <= last").select("lang", "text")
     found = sample.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(found["lang"].unique()) or ["und"]
     counts = np.zeros((BUCKETS, len(languages)))
