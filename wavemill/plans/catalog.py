@@ -757,6 +757,12 @@ def h7(spark, sf):
     return fx.table(spark, sf, "documents").select("doc_id", F.size(scalars.local_paths(text)).alias("n"))
 
 
+@register("h7_document_paths", r"""SELECT doc_id, len(regexp_extract_all(text, '(?:/Users/|/home/|[A-Za-z]:\\Users\\)[^ \t\n\x0B\f\r"'']*')) AS n FROM documents""")
+def h7_documents(spark, sf):
+    """H7 over whole texts."""
+    return fx.table(spark, sf, "documents").select("doc_id", F.size(scalars.local_paths(F.col("text"))).alias("n"))
+
+
 @register("h8_utc_text", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS moment FROM events")
 def h8(spark, sf):
     return fx.table(spark, sf, "events").select("event_id", scalars.utc_text(F.col("ts")).alias("moment"))
