@@ -180,12 +180,12 @@ def predict(model, rows: DataFrame, vector: str = "window", label: str = "target
     return scored.withColumns({"label": F.col(label).cast("int"), "prediction": F.col("prediction").cast("int")}).drop("features", "rawPrediction", "probability")
 
 
-def depth_sweep(train: DataFrame, validation: DataFrame, depths: Sequence[int], vector: str = "window", label: str = "target_value") -> DataFrame:
+def depth_sweep(train: DataFrame, validation: DataFrame, depths: Sequence[int], vector: str = "window", label: str = "target_value", trees: int = 20) -> DataFrame:
     """Accuracy by depth on both parts, and the gap between: depth, train_accuracy, validation_accuracy, gap."""
     train, rows = train.cache(), []
     accuracy = lambda df: df.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     for depth in depths:
-        model = fit_forest(train, vector, label, depth=depth, trees=5)
+        model = fit_forest(train, vector, label, depth=depth, trees=trees)
         a, b = accuracy(predict(model, train, vector, label)), accuracy(predict(model, validation, vector, label))
         rows.append((depth, a, b, a - b))
     train.unpersist()

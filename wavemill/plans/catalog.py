@@ -936,18 +936,18 @@ def j4(spark, sf):
 @register("j5_forest")
 def j5(spark, sf):
     rows = fx.feature_partitions(spark, sf)
-    fitted = model.fit_forest(rows.where("partition = 'train'"), depth=5, trees=5)
+    fitted = model.fit_forest(rows.where("partition = 'train'"))
     return model.predict(fitted, rows.where("partition = 'validation'")).select("ordinal", "label", "prediction")
 
 
 @register("j6_gradient_boosting")
 def j6(spark, sf):
     rows = fx.feature_partitions(spark, sf).withColumn("target_value", (F.col("target_value") > 4).cast("int"))
-    fitted = model.fit_gbt(rows.where("partition = 'train'"), rounds=3, depth=3)
+    fitted = model.fit_gbt(rows.where("partition = 'train'"))
     return model.predict(fitted, rows.where("partition = 'validation'")).select("ordinal", "label", "prediction")
 
 
 @register("j7_depth_sweep")
 def j7(spark, sf):
     rows = fx.feature_partitions(spark, sf)
-    return model.depth_sweep(rows.where("partition = 'train'"), rows.where("partition = 'validation'"), [2, 4])
+    return model.depth_sweep(rows.where("partition = 'train'"), rows.where("partition = 'validation'"), range(2, 21))
