@@ -1,6 +1,7 @@
 import random
 
 from tests.llm.conftest import union_components
+from wavemill.llm import common
 from wavemill.llm.common import connected_components
 
 
@@ -12,5 +13,12 @@ def test_like_union_find(spark):
     assert {tuple(r) for r in found.collect()} == set(union_components({x for p in pairs for x in p}, pairs).items())
 
 
+def test_hubs_are_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(common, "HUB_EDGES", 20)
+    test_like_union_find(spark)
+    monkeypatch.setattr(common, "MOST_HUBS", 0)
+    test_like_union_find(spark)
+
+
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []

@@ -6,20 +6,25 @@ import base64
 import hashlib
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from wavemill.llm.common import whole_text_batches
+from wavemill.llm.text import row_groups, utf8
 
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BITS = [1 << k for k in range(256)]
 #: A space that the next character does not take as its own.
 _LOOSE_SPACE = re.compile(r" (?:[\s\x1c-\x1f\x85]|\Z)")
+#: Characters that are pre-tokens by themselves at the end of a word.
+_STOPS = frozenset(".,;:!?")
+#: Bytes of text encoded together.
+GROUP = 1 << 23
 
 
 class BytePairs:
@@ -131,7 +136,7 @@ class _Memory(dict):
         self.compute, self.limit, self.old = compute, limit, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
+        value = self.old.pop(key, None)
         if value is None:
             value = self.compute(key)
         if len(key) <= 64:
@@ -147,14 +152,22 @@ class TextEncoder:
 
     A pre-token always ends before a space that is followed by another kind of character, so a text is cut there, and
     what each cut gave is remembered, within a bound. A cut that isn't one pre-token is put together from those it has, and
-    those that begin with a space are cuts themselves.
+    those that begin with a space are cuts themselves. ``encode_word`` may encode a space and a word of ASCII letters, given
+    without the space. Texts that hold one of ``special`` go to ``encode_special`` instead.
     """
 
-    def __init__(self, encode_pretoken: Callable[[str], bytes], pattern: str = PRETOKEN, limit: int = 400_000) -> None:
-        self.split, self.encode_pretoken = regex.compile(pattern).findall, encode_pretoken
+    def __init__(self, encode_pretoken: Callable[[str], bytes], limit: int = 400_000, encode_word: Callable[[str], bytes] | None = None, special: Sequence[str] = (), encode_special: Callable[[str], bytes] | None = None) -> None:
+        self.split, self.encode_pretoken = regex.compile(PRETOKEN).findall, encode_pretoken
+        self.encode_word = encode_word or (lambda word: encode_pretoken(" " + word))
+        self.special, self.encode_special = special, encode_special
         self.cuts, self.others = _Memory(self._cut, limit), _Memory(encode_pretoken, limit // 8)
 
     def _cut(self, cut: str) -> bytes:
+        if cut.isascii():
+            if cut.isalpha():
+                return self.encode_word(cut)
+            if cut[-1:] in _STOPS and cut[:-1].isalpha():
+                return self.cuts[cut[:-1]] + self.others[cut[-1]]
         pretokens = self.split(" " + cut)
         return self.encode_pretoken(pretokens[0]) if len(pretokens) == 1 else self._joined(pretokens)
 
@@ -162,6 +175,8 @@ class TextEncoder:
         return b"".join([self.cuts[p[1:]] if p[0] == " " and len(p) > 1 else self.others[p] for p in pretokens])
 
     def encode(self, text: str) -> bytes:
+        if any(x in text for x in self.special):
+            return self.encode_special(text)
         cuts = text.split(" ")
         if _LOOSE_SPACE.search(text):
             joined = [cuts[0]]
@@ -173,6 +188,39 @@ class TextEncoder:
             cuts = joined
         return self._joined(self.split(cuts[0])) + b"".join(map(self.cuts.__getitem__, cuts[1:]))
 
+    def encode_column(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for a column, null as empty: for each group of some rows their ids as one array, and the rows' bounds in it."""
+        texts = texts.fill_null("")
+        for low, high in row_groups(utf8(texts)[1], GROUP):
+            yield self._encode_rows(texts.slice(low, high - low))
+
+    def _encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each different cut is looked up once, and numpy lays the ids out; rows with loose spaces are encoded by themselves."""
+        pieces = pc.split_pattern(texts, " ")
+        bounds = np.asarray(pieces.offsets).astype(np.int64)
+        starts, counts = bounds[:-1] - bounds[0], np.diff(bounds)
+        known = pieces.flatten().dictionary_encode()
+        cuts, codes = known.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(known.indices).astype(np.int64)
+        loose = [not cut or cut[0].isspace() for cut in cuts]
+        odd = np.array(loose, bool)[codes]
+        odd[starts] = False
+        alone = np.logical_or.reduceat(odd, starts)
+        for x in self.special:
+            alone |= np.asarray(pc.match_substring(texts, x).to_numpy(zero_copy_only=False), bool)
+        found = [b"" if no else self.cuts[cut] for cut, no in zip(cuts, loose, strict=True)]
+        heads = codes[starts].tolist()
+        for row, whole in enumerate(alone.tolist()):
+            found.append(self.encode(texts[row].as_py()) if whole else self._joined(self.split(cuts[heads[row]])))
+        found.append(b"")
+        codes[np.repeat(alone, counts)] = len(found) - 1
+        codes[starts] = len(cuts) + np.arange(len(starts))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, at = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        ids = flat[np.arange(ends[-1]) + np.repeat(at[codes] - (ends - lengths), lengths)]
+        return ids, np.concatenate([[0], ends[starts + counts - 1]])
+
 
 _encoders: dict[str, tuple[BytePairs, TextEncoder, list[str]]] = {}
 
@@ -191,8 +239,9 @@ def bpe_encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
     """Encode each whole text: id_col, ids array<int>.
 
     One row per input row, in no order; a null text counts as empty and gives an empty array; repeated rows repeat; a null
-    id stays null. Other columns are left out, so their names can't clash. The rank file (about 1 MB, fixed by the
-    tokenizer) is read on the driver and broadcast. Nothing is shuffled.
+    id stays null; an empty table gives no rows. Other columns are left out, so their names can't clash. A text is held in one
+    task with about 30 bytes for each of its tokens, however long it is; short ones are encoded some megabytes at a time. The
+    rank file (about 1 MB, fixed by the tokenizer) is read on the driver and broadcast. Nothing is shuffled.
     """
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(_read(ranks_path))
@@ -200,12 +249,12 @@ def bpe_encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder, _ = _encoder(content.value)
         for batch in batches:
-            found = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
-            offsets = np.cumsum([0, *(len(x) // 4 for x in found)])
-            ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)], ["id", "ids"])
+            row = 0
+            for ids, bounds in encoder.encode_column(batch.column(1)):
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("<i4")))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(lists)), lists], ["id", "ids"])
+                row += len(lists)
 
-    whole_text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
 
@@ -236,14 +285,14 @@ def bpe_digest(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
         pairs, encoder, numerals = _encoder(content.value)
         for batch in batches:
             counts, of_ids, of_bytes = [], [], []
-            for text in batch.column(1):
-                ids = np.frombuffer(encoder.encode(text.as_py() or ""), "<u4").tolist()
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(",".join([numerals[x] for x in ids]).encode()).hexdigest())
-                of_bytes.append(hashlib.sha256(pairs.decode(ids)).hexdigest())
+            for found, bounds in encoder.encode_column(batch.column(1)):
+                for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    ids = found[low:high].tolist()
+                    counts.append(len(ids))
+                    of_ids.append(hashlib.sha256(",".join([numerals[x] for x in ids]).encode()).hexdigest())
+                    of_bytes.append(hashlib.sha256(pairs.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["id", "n", "a", "b"])
 
-    whole_text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(digest, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wavemill.llm.bpe import bpe_digest
 from wavemill.llm.chat import prefix_targets, read_back
-from wavemill.llm.common import scratch_path
+from wavemill.llm.common import delete_at_exit, scratch_path
 from wavemill.llm.embed_dedup import embedding_components
 from wavemill.llm.jaccard import jaccard_components
 from wavemill.llm.langid import fit_trigrams, fuse_evidence, page_evidence
@@ -71,6 +71,7 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written as ORC and read back: doc_id, start, n_tokens, ids_crc32."""
     path = scratch_path(spark, "token-orc")
     write_token_orc(_table(spark, sf_dir, "documents"), path, BPE_FILE, end_id=2)
+    delete_at_exit(spark, path)
     return token_offsets(spark, path)
 
 

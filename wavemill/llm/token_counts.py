@@ -11,8 +11,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavemill.llm.common import whole_text_batches
-
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
 #: Marks the beginning of a word in the vocabulary.
 WORD_START = "▁"
@@ -113,7 +111,7 @@ def word_piece_counts(docs: DataFrame, vocabulary: Iterable[str], *, id_col: str
 
     Words are runs of anything but ASCII white space. A word's pieces are greedy longest matches of the vocabulary, the
     first beginning with the mark of a word's start; a word that can't be cut so counts as one unknown token. A null text counts as
-    empty: all 0. One row per input row; repeated rows repeat; null ids stay; an empty table gives no rows; other columns are
+    empty: all 0; a very long text is read in one task, with some 80 bytes for each of its words. One row per input row; repeated rows repeat; null ids stay; an empty table gives no rows; other columns are
     left out. The vocabulary (of a size that the tokenizer fixes) is broadcast; nothing is shuffled.
     """
     pieces = [x for x in vocabulary if x and "\n" not in x]
@@ -132,6 +130,5 @@ def word_piece_counts(docs: DataFrame, vocabulary: Iterable[str], *, id_col: str
                 unknown.append(bad)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (words, tokens, unknown))], ["id", "w", "t", "u"])
 
-    whole_text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(count, f"`{id_col}` {kind}, n_words bigint, n_tokens bigint, n_unknown bigint")

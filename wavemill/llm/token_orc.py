@@ -14,15 +14,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wavemill.llm.bpe import PRETOKEN, TextEncoder
-from wavemill.llm.common import whole_text_batches
+from wavemill.llm.bpe import TextEncoder
 
 SCHEMA = "doc_id bigint, part int, first bigint, n_tokens bigint, ids array<int>"
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, TextEncoder] = {}
 
 
-def _tokenizer(content: str) -> tuple:
-    """The library's tokenizer and an encoder of whole texts over it; one per worker process and file."""
+def _tokenizer(content: str) -> TextEncoder:
+    """An encoder of texts over the library's tokenizer; one per worker process and file."""
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _tokenizers:
         from tokenizers import Tokenizer
@@ -37,19 +36,17 @@ def _tokenizer(content: str) -> tuple:
         letters |= {b: spell(chr(max((b & 7) << 18, 0x10000)))[0][0][0] for b in range(0xF0, 0xF5)}
         tokenize = library.model.tokenize
 
-        def pretoken(text: str) -> bytes:
-            word = text[1:]
-            spelled = "\u0120" + word if text[0] == " " and word.isascii() and word.isalnum() else text.encode().decode("latin-1").translate(letters)
-            return array("I", [token.id for token in tokenize(spelled)]).tobytes()
+        def word(letters_only: str) -> bytes:
+            return array("I", [token.id for token in tokenize("\u0120" + letters_only)]).tobytes()
 
-        plain = TextEncoder(pretoken, PRETOKEN)
+        def pretoken(text: str) -> bytes:
+            return array("I", [token.id for token in tokenize(text.encode().decode("latin-1").translate(letters))]).tobytes()
 
-        def encode(text: str) -> bytes:
-            if any(token in text for token in added):
-                return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            return plain.encode(text)
+        def whole(text: str) -> bytes:
+            return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-        _tokenizers[key] = library, encode
+        library.model._resize_cache(0)  # what was encoded is remembered here, by pre-token
+        _tokenizers[key] = TextEncoder(pretoken, encode_word=word, special=added, encode_special=whole)
     return _tokenizers[key]
 
 
@@ -67,25 +64,29 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, *, end_id:
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], "<u4")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first = TaskContext.get().partitionId(), 0
-        _, encoder = _tokenizer(content.value)
+        encoder = _tokenizer(content.value)
         gc.disable()  # the library's tokens are many and never in cycles
-        for batch in batches:
-            found = [encoder(text.as_py() or "") + end for text in batch.column(1)]
-            counts = np.array([len(x) // 4 for x in found], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(counts)])
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(found), part, np.int32)), pa.array(first + offsets[:-1]), pa.array(counts), ids],
-                ["doc_id", "part", "first", "n_tokens", "ids"],
-            )
-            first += int(offsets[-1])
-        gc.enable()
-
-    whole_text_batches(docs.sparkSession)
+        try:
+            for batch in batches:
+                row = 0
+                for ids, bounds in encoder.encode_column(batch.column(1)):
+                    n = len(bounds) - 1
+                    if len(end):
+                        ids = np.insert(ids, bounds[1:], end)
+                        bounds = bounds + np.arange(n + 1)
+                    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("<i4")))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(row, n), pa.array(np.full(n, part, np.int32)), pa.array(first + bounds[:-1]), pa.array(np.diff(bounds)), lists],
+                        ["doc_id", "part", "first", "n_tokens", "ids"],
+                    )
+                    row, first = row + n, first + int(bounds[-1])
+        finally:
+            gc.enable()
+
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     writer = rows.select("doc_id", "text").mapInArrow(encode, SCHEMA).write
