@@ -1,7 +1,9 @@
+from itertools import accumulate
+
 import pytest
 from pyspark.sql import functions as F
 
-from wavemill.llm.mixing import CURVES, demand_inverse, mix_documents, mixing_plan, source_targets, training_order
+from wavemill.llm.mixing import CURVES, demand_inverse, mix_documents, mixing_plan, source_targets, taken_words, training_order
 
 SCHEMA = "doc_id bigint, text string, source string, size string"
 
@@ -31,13 +33,28 @@ def test_targets_like_the_stepwise_rule(spark, sizes):
 def test_taken_near_target(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     plan = mixing_plan(docs).cache()
-    rows = plan.groupBy("source").agg(F.sum(F.col("size") * F.size("positions")).alias("taken"), F.first("target").alias("target"), F.max("size").alias("largest"), F.max("copies").alias("most"))
+    rows = plan.groupBy("source").agg(F.sum(F.col("size") * F.size("positions")).alias("taken"), F.first("target").alias("target"), F.max("size").alias("largest"), F.max(F.size("positions")).alias("most"))
     for r in rows.collect():
         assert abs(r.taken - r.target) <= r.largest and r.most <= 3
     again = mixing_plan(docs.repartition(3))
     assert sorted(map(repr, plan.collect())) == sorted(map(repr, again.collect()))
-    order = [r.position for r in training_order(plan).collect()]
-    assert order == sorted(order) and 0 <= order[0] and order[-1] <= 1
+    order = training_order(plan).collect()
+    places = [r.position for r in order]
+    assert places == sorted(places) and 0 <= places[0] and places[-1] <= 1
+    assert [r.start for r in order] == list(accumulate((r["size"] for r in order), initial=0))[:-1]
+    assert len(order) == plan.agg(F.sum(F.size("positions"))).first()[0]
+
+
+def test_sources_follow_their_curves(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.lit("").alias("size"))
+    order = training_order(mixing_plan(docs)).select("source", "position", "target", "size").collect()
+    for k, weight in enumerate((1, 2, 3)):
+        own = [r for r in order if r.source == f"s{k}"]
+        early = sum(r["size"] for r in own if r.position <= 0.5) / own[0].target
+        # the integral of the weight up to the middle of training
+        knots = CURVES[weight]
+        halfway = sum((min(t1, 0.5) - t0) * (w0 + w0 + (w1 - w0) * (min(t1, 0.5) - t0) / (t1 - t0)) / 2 for (t0, w0), (t1, w1) in zip(knots, knots[1:], strict=False) if t0 < 0.5)
+        assert early == pytest.approx(halfway, abs=0.01)
 
 
 def test_early_sources_come_early(spark):
@@ -46,14 +63,19 @@ def test_early_sources_come_early(spark):
     for r in found:
         assert r.w1 <= r.w2 + 1e-12 and r.w2 == pytest.approx(r.share) and r.w3 >= r.w2 - 1e-12
     assert found[-1].w1 == pytest.approx(1) and found[0].w3 == 0
+    beyond = spark.range(1).select(*(demand_inverse(F.lit(1.0001), c).alias(f"w{w}") for w, c in CURVES.items())).first()
+    assert beyond.w1 is None and beyond.w2 is None and beyond.w3 is None
 
 
 def test_nulls_repeats_and_clashing_columns(spark):
+    assert mixing_plan(spark.createDataFrame([(1, "w " * 200_000, "s", "q")], SCHEMA)).first()["size"] == 200_000
     rows = [(1, "a b c", "s", "q"), (1, "a b c", "s", "q"), (2, None, "s", "q"), (3, "", None, "q"), (None, "x y", None, "q"), (4, " \t\n", "t", "q")]
     docs = spark.createDataFrame(rows, SCHEMA)
     plan = mixing_plan(docs).collect()
     assert len(plan) == 6 and {r["size"] for r in plan} == {3, 0, 2}
-    assert all(r.copies == 0 for r in plan if r["size"] == 0)
+    assert all(not r.positions for r in plan if r["size"] == 0)
+    taken = taken_words(mixing_plan(docs)).collect()
+    assert len(taken) == 6 and all(r.taken == 0 and r.first_start is None for r in taken if r["size"] == 0)
     mixed = mix_documents(docs)
     assert mixed.columns == docs.columns and mixed.count() > 0
     assert mixing_plan(docs.limit(0)).collect() == [] and mix_documents(docs.limit(0)).collect() == []

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +53,13 @@ def order_key(name: str) -> Column:
 
 
 def demand_inverse(share: Column, knots: Sequence[tuple[float, float]]) -> Column:
-    """Progress at which a source whose weight runs through ``knots`` (straight between them) has met ``share`` of its demand.
+    """Progress at which a source whose weight runs through ``knots`` (straight between them) has met ``share`` of its demand;
+    null if it never does, the share being over 1.
 
     The weight is integrated over each stretch, and the quadratic that this gives is solved for the progress.
     """
     areas = [(t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in zip(knots, knots[1:], strict=False)]
-    total, met, out = sum(areas), 0.0, F.lit(float(knots[-1][0]))
+    total, met, out = sum(areas), 0.0, F.when(share <= 1, F.lit(float(knots[-1][0])))
     stretches = []
     for ((t0, w0), (t1, w1)), area in zip(zip(knots, knots[1:], strict=False), areas, strict=True):
         stretches.append((met, met + area, t0, w0, (w1 - w0) / (t1 - t0)))
@@ -70,13 +74,14 @@ def demand_inverse(share: Column, knots: Sequence[tuple[float, float]]) -> Colum
 def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, limit: float = 3.0) -> DataFrame:
     """How often and where in training each document is taken: one row per input row.
 
-    id_col, source_col, size bigint, source_size bigint, target double, copies int, positions array<double> (progress from
-    0 to 1, one for each copy, ascending). A size is the number of runs of anything but ASCII white space (null: 0). Each
-    source's documents are laid end to end in a seeded order, again and again up to ``limit`` times; a copy is taken when
-    its middle lies within the source's target, so what is taken is within half a document of it, and its position is
-    where the source's cumulative demand under its curve reaches that middle. Documents of size 0 are never taken. Equal
-    inputs give equal results whatever their partitions; rows with equal ids and sizes follow one another in that order.
-    Null sources are one source, ordered last; an empty table gives no rows.
+    id_col, source_col, size bigint, source_size bigint, target double, middle double, positions array<double> (progress from
+    0 to 1, one for each copy that is taken, ascending). A size is the number of runs of anything but ASCII white space (null:
+    0). Each source's documents are laid end to end in a seeded order, again and again up to ``limit`` times. The weights of
+    ``CURVES`` integrate to a source's cumulative demand, which ends at its target; a copy gets the progress at which the
+    demand reaches its middle, by the inverse of that integral, and is taken if the demand reaches it at all. So what is taken
+    is within half a document of the target. Documents of size 0 are never taken. Equal inputs give equal results whatever
+    their partitions; rows with equal ids and sizes follow one another in the seeded order, so each has a middle of its own.
+    Null sources are one source, ordered last; an empty table gives no rows. Only the size of a very long text travels.
 
     The order is cut into ranges of the hash, so that a hot source is summed in many tasks; only (id, source, size) is
     shuffled, and the texts are read once.
@@ -94,10 +99,7 @@ def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     both = F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.slice") == F.col("s.slice"))
     rows = rows.alias("r").join(slices.alias("s"), both).select("r.*", "ahead", "source_size", "weight", "target")
     within = Window.partitionBy("source", "slice").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.col("ahead") + F.coalesce(F.sum("size").over(within), F.lit(0)) + F.col("size") / 2
-    rows = rows.withColumn("middle", middle)
-    copies = F.when((F.col("size") > 0) & (F.col("middle") <= F.col("target")), F.floor((F.col("target") - F.col("middle")) / F.col("source_size")) + 1).otherwise(0)
-    rows = rows.withColumn("copies", F.least(copies, F.lit(int(limit))).cast("int"))
+    rows = rows.withColumn("middle", F.col("ahead") + F.coalesce(F.sum("size").over(within), F.lit(0)) + F.col("size") / 2)
 
     def position(k: Column) -> Column:
         share = (F.col("middle") + k * F.col("source_size")) / F.col("target")
@@ -106,22 +108,58 @@ def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             found = F.when(F.col("weight") == weight, demand_inverse(share, knots)).otherwise(found)
         return found
 
-    turns = F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.expr("cast(array() as array<int>)"))
-    return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", F.transform(turns, position).alias("positions"))
+    turns = F.array(*(F.lit(k) for k in range(int(limit))))
+    positions = F.when(F.col("size") > 0, F.filter(F.transform(turns, position), lambda x: x.isNotNull())).otherwise(F.expr("cast(array() as array<double>)"))
+    return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "middle", positions.alias("positions"))
 
 
 def training_order(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The taken copies in training order: id_col, copy int (from 0), size, position; range-partitioned and sorted by position."""
-    taken = plan.select(id_col, "size", F.posexplode("positions").alias("copy", "position"))
-    return taken.repartitionByRange("position", id_col, "copy").sortWithinPartitions("position", id_col, "copy")
+    """The taken copies in training order: the plan's columns but positions, and copy int (from 0), position double and start
+    bigint, the words of the mix before it.
+
+    Range-partitioned and sorted by position (then id, middle and copy), and numbered where they lie: each partition counts
+    its own words, and one row for each partition tells how many are ahead of it. The sorted rows are written down first, so
+    that the numbers fit the order that is read. An empty plan gives no rows.
+    """
+    spark = plan.sparkSession
+    taken = plan.select(*(c for c in plan.columns if c != "positions"), F.posexplode("positions").alias("copy", "position"))
+    order = ["position", id_col, "middle", "copy"]
+    fields = ", ".join(f"`{c}` {taken.schema[c].dataType.simpleString()}" for c in taken.columns)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, first = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            sizes = np.asarray(batch.column(batch.schema.get_field_index("size")))
+            ends = first + np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(sizes), part, np.int32)), pa.array(ends - sizes)], [*batch.schema.names, "part", "first"])
+            first = int(ends[-1]) if len(ends) else first
+
+    rows = taken.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(numbered, f"{fields}, part int, first bigint")
+    rows = materialise(rows, "order")
+    ahead = rows.groupBy("part").agg(F.sum("size").alias("n"))
+    ahead = ahead.withColumn("ahead", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return rows.join(F.broadcast(ahead.select("part", "ahead")), "part").select(*taken.columns, (F.col("ahead") + F.col("first")).alias("start"))
+
+
+def taken_words(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """What the training order takes of each row of a plan: id_col, size, source_size, target, taken bigint (words, repeats
+    counted), first_position and last_position double, and first_start bigint (words of the mix before its first copy); the
+    last three are null where nothing is taken."""
+    own = [c for c in plan.columns if c != "positions"]
+    copies = training_order(plan, id_col).groupBy(*own).agg(F.sum("size").alias("taken"), F.min("position").alias("first_position"), F.max("position").alias("last_position"), F.min("start").alias("first_start"))
+    none = {"taken": F.lit(0).cast("long"), "first_position": F.lit(None).cast("double"), "last_position": F.lit(None).cast("double"), "first_start": F.lit(None).cast("long")}
+    left_out = plan.where(F.size("positions") == 0).select(*own).withColumns(none)
+    return copies.unionByName(left_out).select(id_col, "size", "source_size", "target", "taken", "first_position", "last_position", "first_start")
 
 
 def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents themselves, each as often as the mix takes it, in training order and with their own columns only.
 
-    Rows that share an id share a plan: each is taken as often as the first of them in the seeded order.
+    Rows that share an id share a plan: each is taken as often as the one of them that is taken most, the first in the seeded
+    order. Names of columns can't clash.
     """
     plan = mixing_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col)
-    plan = plan.groupBy(F.col(id_col).alias("__id")).agg(F.max_by("positions", "copies").alias("__positions"))
-    rows = docs.join(plan, F.col(id_col).eqNullSafe(F.col("__id"))).select(*docs.columns, F.explode("__positions").alias("__position"))
-    return rows.repartitionByRange("__position", id_col).sortWithinPartitions("__position", id_col).select(*docs.columns)
+    plan = plan.groupBy(F.col(id_col).alias("id")).agg(F.max_by("positions", F.size("positions")).alias("positions"))
+    rows = docs.select(F.col(id_col).alias("key"), F.struct("*").alias("doc")).join(plan, F.col("key").eqNullSafe(F.col("id")))
+    rows = rows.select("key", "doc", F.explode("positions").alias("position"))
+    return rows.repartitionByRange("position", "key").sortWithinPartitions("position", "key").select("doc.*")

@@ -14,7 +14,7 @@ from wavemill.llm.common import delete_at_exit, scratch_path
 from wavemill.llm.embed_dedup import embedding_components
 from wavemill.llm.jaccard import jaccard_components
 from wavemill.llm.langid import fit_trigrams, fuse_evidence, page_evidence
-from wavemill.llm.mixing import mixing_plan
+from wavemill.llm.mixing import mixing_plan, taken_words
 from wavemill.llm.token_counts import sentencepiece_vocabulary, word_piece_counts
 from wavemill.llm.token_orc import token_offsets, write_token_orc
 from wavemill.llm.topk import top_k
@@ -95,9 +95,9 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of every document: doc_id, size, source_size, target, taken."""
-    plan = mixing_plan(_table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("positions")).alias("taken"))
+    """What the training order takes of every document: doc_id, size, source_size, target, taken, and where it comes first and last."""
+    found = taken_words(mixing_plan(_table(spark, sf_dir, "documents")))
+    return found.withColumns({c: F.round(c, 9) for c in ("first_position", "last_position")})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -149,12 +149,21 @@ levels AS (
   SELECT *, (sum(source_size) OVER () - 3.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY stops, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY stops, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM stopping),
 share AS (SELECT level AS share FROM levels WHERE level <= stops ORDER BY stops, source NULLS LAST LIMIT 1),
-targets AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * share) AS target FROM levels, share),
+targets AS (SELECT source, source_size, weight, least(3.0::DOUBLE * source_size, weight * share) AS target FROM levels, share),
 laid AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2.0::DOUBLE AS middle FROM sized)
-SELECT doc_id, size, source_size, target,
-  CAST(size * CASE WHEN size > 0 AND middle <= target THEN least(3, floor((target - middle) / source_size) + 1) ELSE 0 END AS BIGINT) AS taken
-FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source""",
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2.0::DOUBLE AS middle FROM sized),
+-- a source's demand is the integral of its weight over training: 1.5 t - t^2 / 2, t, or 0.5 t + t^2 / 2 of its target
+shares AS (
+  SELECT doc_id, laid.source, size, source_size, target, middle, weight, k, (middle + k * source_size) / target AS met
+  FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source, range(3) r(k)),
+demands AS (SELECT *, CASE weight WHEN 1 THEN 1.5 - sqrt(2.25 - 2 * met) WHEN 2 THEN met ELSE sqrt(0.25 + 2 * met) - 0.5 END AS position FROM shares WHERE size > 0 AND met <= 1),
+ordered AS (SELECT *, sum(size) OVER (ORDER BY position, doc_id, middle, k ROWS UNBOUNDED PRECEDING) - size AS start FROM demands),
+found AS (
+  SELECT source, doc_id, middle, sum(size) AS taken, min(position) AS first_position, max(position) AS last_position, min(start) AS first_start FROM ordered GROUP BY 1, 2, 3)
+SELECT laid.doc_id, laid.size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, round(first_position, 9) AS first_position, round(last_position, 9) AS last_position,
+  CAST(first_start AS BIGINT) AS first_start
+FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source LEFT JOIN found
+  ON laid.source IS NOT DISTINCT FROM found.source AND laid.doc_id IS NOT DISTINCT FROM found.doc_id AND laid.middle = found.middle AND laid.size > 0""",
     "op9_embedding_dedup": """
 WITH RECURSIVE rows AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
