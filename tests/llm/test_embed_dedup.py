@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tests.llm.conftest import union_components
 from wavemill.llm import embed_dedup
@@ -42,6 +43,32 @@ def test_unusable_vectors_link_with_nothing(spark):
     assert {r for r in got if r[1]} == {(1, 1, 1, True), (2, 1, 1, False)}
 
 
+def test_repeated_ids_and_a_cosine_at_the_threshold(spark):
+    # 3-4-5 triangles: the cosine of the first two is 0.96, exactly
+    rows = [(1, [1.0, 0.0], 1), (2, [24.0, 7.0], 1), (7, [0.0, 1.0], 2), (7, [0.0, 1.0], 2), (8, [0.0, 2.0], 2)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(tuple(r) for r in embedding_components(table, cosine=0.96).collect())
+    assert got[:2] == [(1, 1, 1, True), (2, 1, 1, False)]
+    assert got[2:] == [(7, 2, 7, True), (7, 2, 7, True), (8, 2, 7, False)]
+    assert {r.n_links for r in embedding_components(table, cosine=0.9600001).where("vec_id < 3").collect()} == {0}
+
+
+@pytest.mark.parametrize("partitions", [4, 16])
+def test_a_group_many_times_a_chunk(spark, monkeypatch, partitions):
+    monkeypatch.setattr(embed_dedup, "CHUNK_ROWS", 16)
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal(24)
+    rows = [(k, (base + rng.standard_normal(24) * 0.05).astype(np.float32).tolist(), 1) for k in range(600)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {tuple(r) for r in embedding_components(spark.createDataFrame(rows, SCHEMA), window=4, passes=6).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == brute(rows)
+
+
 def test_clashing_columns_null_ids_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, [1.0, 0.0], 1, 5), (1, [1.0, 0.0], 1, 6)], SCHEMA + ", copies int")
     assert sorted(map(repr, embedding_components(rows).collect())) == sorted(map(repr, [(None, 0, None, True), (1, 0, 1, True)])) or [tuple(r) for r in embedding_components(rows).orderBy("vec_id").collect()] == [(None, 0, None, True), (1, 0, 1, True)]

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavemill.llm.common import connected_components, materialise
+from wavemill.llm.common import connected_components, discard, materialise
 
 #: Bits of a sort key.
 BITS = 48
 #: Rows that one task compares at once; a task's memory is bounded by it.
 CHUNK_ROWS = 16_384
+#: Sizes of this many groups at most are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def usable(vector: Column) -> Column:
@@ -125,9 +127,12 @@ def _degrees(members: DataFrame, cosine: float) -> DataFrame:
     """
     key = ["component", "label", "dim"]
     most, tile = CHUNK_ROWS, ["dim", "component", "label", "i", "j"]
-    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    block = F.least(F.lit(most), F.greatest(F.lit(min(1024, most)), F.ceil(F.col("m") / 6)))
-    dealt = members.join(sizes, key).withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+    whole = min(1024, most)  # a group of so many rows is one block
+    sizes = materialise(members.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > whole), "sizes")
+    block = F.least(F.lit(most), F.greatest(F.lit(whole), F.ceil(F.col("m") / 6)))
+    # fewer than rows / 1,024, so they are broadcast up to a number at which no group is a large part of a task of a shuffle
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    dealt = members.join(sizes, key, "left").withColumn("blocks", F.coalesce(F.ceil(F.col("m") / block), F.lit(1)).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(31), "hash"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(*key, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "copies", "vector")
@@ -209,8 +214,9 @@ def embedding_components(embeddings: DataFrame, *, cosine: float = 0.93, id_col:
     its parts, with a probability that ``passes`` and ``window`` set (measured recall: see the README).
 
     Vectors that are null, empty, zero or hold a null or a non-finite component, and rows with a null label or id, link with
-    nothing: n_links 0, component_id their own id, kept true. Vectors of different lengths aren't compared. Rows that share
-    an id are one node. An empty table gives no rows. Other columns are left out. Passes run ``at_once`` in one shuffle, so
+    nothing: n_links 0, component_id their own id, kept true. Vectors of different lengths aren't compared. A cosine that
+    equals ``cosine`` links. Rows that share an id are one node, and their equal vectors count as links of it. An empty table
+    gives no rows. Other columns are left out. Passes run ``at_once`` in one shuffle, so
     that disk holds that many copies of the vectors at most.
     """
     rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<float>").alias("vector"))
@@ -227,8 +233,10 @@ def embedding_components(embeddings: DataFrame, *, cosine: float = 0.93, id_col:
     for more in found[1:]:
         links = links.unionByName(more)
     links = materialise(links.distinct(), "links")
+    discard(*found)
     parts = connected_components(links).withColumnRenamed("node", "class")
-    members = classes.join(parts, "class", "left").select(F.coalesce("component", "class").alias("component"), "label", F.size("vector").alias("dim"), "hash", F.col("class").alias("id"), "copies", "vector")
+    discard(links)
+    members = classes.join(parts, "class").select("component", "label", F.size("vector").alias("dim"), "hash", F.col("class").alias("id"), "copies", "vector")
     degrees = _degrees(members, cosine)
     known = classes.select("label", "hash", "vector", "class", "copies").join(degrees, "class", "left").join(parts, "class", "left")
     known = known.select("label", "hash", "vector", "class", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "class").alias("component"))
