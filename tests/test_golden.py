@@ -1,6 +1,9 @@
 """Small cases with exact expected values."""
 
+import hashlib
 import math
+import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -8,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from wavemill.functions import scalars
 from wavemill.operators import annotate, experiments, lineage, metrics, model, quality, split, windowing
 from wavemill.operators.split import SplitConfig, partition_sizes
 
@@ -93,6 +97,18 @@ def test_apportionment_is_whole(n, a, b):
     assert sum(sizes) == n and min(sizes) >= 1
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(3, 400))
+def test_apportionment_by_its_definition(n):
+    """Of all ways to fill three partitions, the one that is nearest to the quotas in its largest gap and then earliest."""
+    ratios = (Fraction(7, 10), Fraction(3, 20), Fraction(3, 20))
+    quotas = [n * r for r in ratios]
+    sizes = partition_sizes(n, (0.7, 0.15, 0.15))
+    assert sum(sizes) == n and all(abs(s - q) < 1 or s == 1 for s, q in zip(sizes, quotas, strict=True) if n >= 20)
+    best = min(sum((s - q) ** 2 for s, q in zip((a, b, n - a - b), quotas, strict=True)) for a in range(1, n - 1) for b in range(1, n - a))
+    assert sum((s - q) ** 2 for s, q in zip(sizes, quotas, strict=True)) == best
+
+
 def test_too_few_subjects():
     with pytest.raises(ValueError, match="partitions"):
         partition_sizes(2, (0.7, 0.15, 0.15))
@@ -112,6 +128,83 @@ def test_subjects_stay_together(spark):
     assert set(map(tuple, again.collect())) == set(map(tuple, members.collect()))
 
 
+def test_shuffled_order_is_pythons(spark):
+    names = [f"s{k}" for k in range(40)]
+    found = split.split_subjects_shuffled(spark.createDataFrame([(x,) for x in names], "subject_id string").repartition(5), SplitConfig(seed=7))
+    order = sorted(names)
+    random.Random(7).shuffle(order)
+    assert {r.subject_id: r.partition for r in found.collect()} == {x: p for x, p in zip(order, ["train"] * 28 + ["validation"] * 6 + ["test"] * 6, strict=True)}
+    with pytest.raises(ValueError, match="split_subjects"):
+        split.split_subjects_shuffled(found, SplitConfig(), most=39)
+
+
+def test_subjects_must_cover_records_exactly(spark):
+    rows = spark.createDataFrame([("1", 0), ("1", 1), ("2", 0)], "record_id string, x int")
+    known = lambda *ids: spark.createDataFrame([(i, f"s{i}") for i in ids], "record_id string, subject_id string")
+    assert split.attach_subjects(rows, known("1", "2")).count() == 3
+    with pytest.raises(Exception, match="no subject for record 2"):
+        split.attach_subjects(rows, known("1")).collect()
+    with pytest.raises(Exception, match="first is 3"):
+        split.attach_subjects(rows, known("1", "2", "3")).collect()
+
+
+def test_shards_and_members_must_agree(spark):
+    shards = spark.createDataFrame([("1", 5), ("2", 6)], "record_id string, window_count int")
+    members = lambda *ids: spark.createDataFrame([(i, "s", "train") for i in ids], "record_id string, subject_id string, partition string")
+    assert lineage.build_dataset_index(shards, members("1", "2")).columns == ["record_id", "subject_id", "partition", "window_count"]
+    for ids, message in ((("1",), "no partition for the shard of record 2"), (("1", "2", "3"), "no shard of record 3"), (("1", "2", "2"), "several shards of record 2")):
+        with pytest.raises(Exception, match=message):
+            lineage.build_dataset_index(shards, members(*ids)).collect()
+
+
+def test_run_manifest_refuses_repeats(spark):
+    files = spark.createDataFrame([("a", 1, "00"), ("b", 2, "11"), ("c", 3, "22")], "path string, size_bytes bigint, sha256 string")
+    roles = spark.createDataFrame([("a", "config"), ("b", "evidence")], "path string, role string")
+    run = "00000000-0000-4000-8000-000000000009"
+    found = lineage.run_manifest(files, roles, run)
+    assert sorted(tuple(r) for r in found.collect()) == [(run, "config", "a", 1, "00"), (run, "evidence", "b", 2, "11")]
+    sums = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in ("config|a|1|00", "evidence|b|2|11")]
+    assert tuple(lineage.manifest_digest(found).first()) == (run, 2, 3, sum(sums))
+    for bad_files, bad_roles in ((files.unionByName(files.limit(1)), roles), (files, roles.unionByName(roles.limit(1)))):
+        with pytest.raises(Exception, match="listed twice"):
+            lineage.run_manifest(bad_files, bad_roles, run).collect()
+    with pytest.raises(ValueError, match="UUID"):
+        lineage.run_manifest(files, roles, "run-1")
+
+
+def test_evaluation_proves_what_it_reads(spark):
+    rows = spark.createDataFrame([("1", "validation", 0, [0.0, 0.0]), ("1", "validation", 1, [9.0, 9.0]), ("2", "train", 0, [0.0, 0.0])], "record_id string, partition string, target_value int, window array<double>")
+    index = spark.createDataFrame([("1", 2)], "record_id string, window_count bigint")
+    files = spark.createDataFrame([("model", "m", 1, "00")], "role string, path string, size_bytes bigint, sha256 string")
+    assert model.evaluate(rows, fitted(), index, files, files, [0, 1]).first().accuracy == 1
+    with pytest.raises(Exception, match="not as recorded: model m"):
+        model.evaluate(rows, fitted(), index, files, files.withColumn("sha256", F.lit("11")), [0, 1]).collect()
+    with pytest.raises(Exception, match="record 1"):
+        model.evaluate(rows, fitted(), index.withColumn("window_count", F.lit(3)), files, files, [0, 1]).collect()
+    with pytest.raises(PermissionError):
+        model.evaluate(rows, fitted(), index, files, files, [0, 1], partition="test")
+
+
+def test_forest_and_boosting_learn(spark):
+    rows = [(k, [float(k % 7), float(k % 2) * 10 + k % 3], k % 2) for k in range(120)]
+    table = spark.createDataFrame(rows, "ordinal int, window array<double>, target_value int")
+    for fit in (lambda t: model.fit_forest(t, depth=4, trees=5), lambda t: model.fit_gbt(t, rounds=3, depth=3)):
+        found = model.predict(fit(table), table)
+        assert found.where("label = prediction").count() == 120
+    sweep = model.depth_sweep(table, table, [1, 3], trees=4).orderBy("depth").collect()
+    assert [r.depth for r in sweep] == [1, 3] and sweep[1].train_accuracy == 1 and all(r.gap == 0 for r in sweep)
+
+
+@pytest.mark.parametrize(("text", "paths"), [("a /home/x/y) b", ["/home/x/y"]), ('p="/Users/me/d.csv"', ["/Users/me/d.csv"]), ("x/home/user", []), ("C:\\data\\x (D:\\y)", ["C:\\data\\x", "D:\\y"]), ("abC:\\d", []), ("/home/", [])])
+def test_local_paths(spark, text, paths):
+    assert spark.createDataFrame([(text,)], "t string").select(scalars.local_paths(F.col("t"))).first()[0] == paths
+
+
+@pytest.mark.parametrize(("name", "good"), [("a", True), ("a-b_c.9", True), ("", False), ("../evil", False), ("a/b", False), ("..", False), (".hidden", False), ("trailing-", False), ("a ", False)])
+def test_candidate_names(spark, name, good):
+    assert spark.createDataFrame([(name,)], "t string").select(scalars.matches(F.col("t"), scalars.CANDIDATE)).first()[0] is good
+
+
 def test_severities(spark):
     assignment = spark.createDataFrame([("1", "a", "train"), ("2", "b", "validation"), ("3", "c", "test")], "record_id string, subject_id string, partition string")
     windows = spark.createDataFrame([(r, t) for r in "123" for t in (0, 1)], "record_id string, target_value int")

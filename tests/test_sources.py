@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def windows(spark):
-    return spark.createDataFrame([("1", k, [float(k), 2.0], k % 2, "train") for k in range(4)] + [("2", 0, [9.0, 9.0], 1, "test")], "record_id string, ordinal int, window array<double>, target_value int, partition string")
+    rows = [("1", k, 5 * k, "N", [float(k), 2.0], k % 2, "train") for k in range(4)] + [("2", 0, 7, "N", [9.0, 9.0], 1, "test")]
+    return spark.createDataFrame(rows, "record_id string, ordinal int, center_sample_index int, source_symbol string, window array<double>, target_value int, partition string")
 
 
 def test_window_sink_is_create_only(spark, tmp_path):
@@ -33,6 +34,16 @@ def test_partitions_are_pruned_and_windows_not_read_for_metadata(spark, tmp_path
     assert "window" not in plan.split("ReadSchema")[1]
 
 
+def test_metadata_of_another_version_or_without_fields_is_refused(spark):
+    good = windows(spark).withColumn("schema_version", F.lit(1))
+    assert tables.scan_window_metadata(good).count() == 5
+    for version in (F.lit(2), F.lit(None).cast("int")):
+        with pytest.raises(Exception, match="schema version"):
+            tables.scan_window_metadata(good.withColumn("schema_version", F.when(F.col("record_id") == "2", version).otherwise(1))).collect()
+    with pytest.raises(ValueError, match="source_symbol"):
+        tables.scan_window_metadata(good.drop("source_symbol"))
+
+
 def test_protected_files_are_not_touched(spark, tmp_path):
     path = tmp_path / "p"
     windows(spark).write.partitionBy("partition").parquet(str(path))
@@ -50,10 +61,12 @@ def test_reports_sort_their_keys(spark, tmp_path):
 def test_manifest_and_inventory(spark, tmp_path):
     (tmp_path / "one.dat").write_bytes(b"abc")
     (tmp_path / "sub").mkdir()
-    (tmp_path / "sub" / "two.dat").write_bytes(b"")
+    (tmp_path / "sub" / "two.dat").write_bytes(b"x")
     found = tables.file_inventory(spark, str(tmp_path), "*.dat").collect()
     assert [(r.size_bytes, r.sha256[:8]) for r in found] == [(3, "ba7816bf")]
-    assert tables.discover_shards(spark, [str(tmp_path), str(tmp_path)], "*.dat").first().n == 2
+    assert tables.discover_shards(spark, [str(tmp_path), str(tmp_path / "sub")], "*.dat").count() == 2
+    with pytest.raises(Exception, match="named twice"):
+        tables.discover_shards(spark, [str(tmp_path), str(tmp_path)], "*.dat").collect()
     (tmp_path / "m.json").write_text(json.dumps({"schema_version": 1, "files": [{"path": "one.dat", "size_bytes": 3, "sha256": "00"}]}, indent=1))
     assert [tuple(r) for r in tables.scan_manifest(spark, str(tmp_path / "m.json")).collect()] == [(1, "one.dat", 3, "00")]
 

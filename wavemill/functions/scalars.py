@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 DIGEST = r"^[0-9a-fA-F]{64}$"
 COMMIT = r"^[0-9a-f]{40}$"
 UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-CANDIDATE = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
-LOCAL_PATH = r"(?:/Users/|/home/|[A-Za-z]:\\Users\\)[^\s\"']*"
+# These two patterns decide what counts.
+CANDIDATE = r"^[A-Za-z0-9](?:[A-Za-z0-9_.-]*[A-Za-z0-9])?$"
+LOCAL_PATH = r"(?:^|[\s\"'(=])(?:/Users/[^\s\"')]+|/home/[^\s\"')]+|[A-Za-z]:\\[^\s\"')]+)"
 
 
 def is_close(value: Column, target: Column, relative: float = 1e-5, absolute: float = 1e-8) -> Column:
@@ -47,7 +48,9 @@ def file_url(base: Column, name: Column) -> Column:
 
 
 def local_paths(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({LOCAL_PATH})"), F.lit(1))
+    """Paths of one machine in a text, without the white space, quote, bracket or equals sign before each; white space is ASCII's."""
+    found = F.regexp_extract_all(text, F.lit(f"({LOCAL_PATH})"), F.lit(1))
+    return F.transform(found, lambda x: F.regexp_replace(x, r"^[\s\"'(=]", ""))
 
 
 def utc_text(moment: Column) -> Column:
@@ -70,5 +73,10 @@ def count_map(entries: Column) -> Column:
     return F.map_from_entries(F.array_sort(entries))
 
 
+def refuse(ok: Column, message: Column) -> Column:
+    """True where ``ok``; anything else fails the job with the message."""
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:
     return F.when(whole == 0, F.lit(empty)).otherwise(part / whole)

@@ -1,6 +1,7 @@
 """Annotation symbols and their targets under a closed vocabulary.
 
-Mappings have symbol, target_name, target_value and excluded; they are parameters of a few rows, so they are broadcast.
+Mappings have symbol, target_name, target_value and excluded; they are parameters of a few rows, which Spark broadcasts by
+their size.
 """
 
 from __future__ import annotations
@@ -14,13 +15,18 @@ from pyspark.sql import functions as F
 def map_annotations(annotations: DataFrame, mapping: DataFrame) -> DataFrame:
     """Annotations of symbols that the mapping has and doesn't exclude, with their targets."""
     known = mapping.where(~F.col("excluded")).select("symbol", "target_name", "target_value")
-    return annotations.join(F.broadcast(known), "symbol")
+    return annotations.join(known, "symbol")
+
+
+def exclude_records(rows: DataFrame, ids: DataFrame, key: str = "record_id") -> DataFrame:
+    """Rows of all records but those listed. A null id is never excluded."""
+    return rows.join(ids.select(key), key, "left_anti")
 
 
 def unknown_symbols(annotations: DataFrame, mapping: DataFrame) -> DataFrame:
     """Symbols that the mapping doesn't have, with how often they occur; a closed world has none."""
     counts = annotations.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(F.broadcast(mapping.select("symbol")), "symbol", "left_anti")
+    return counts.join(mapping.select("symbol"), "symbol", "left_anti")
 
 
 def mapping_report(annotations: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -31,7 +37,7 @@ def mapping_report(annotations: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def mapping_totals(annotations: DataFrame, mapping: DataFrame) -> DataFrame:
     """One row: input, included, excluded and unknown annotations."""
-    flagged = annotations.join(F.broadcast(mapping.select("symbol", "excluded")), "symbol", "left")
+    flagged = annotations.join(mapping.select("symbol", "excluded"), "symbol", "left")
     return flagged.agg(
         F.count(F.lit(1)).alias("input"),
         F.count_if(~F.col("excluded")).alias("included"),

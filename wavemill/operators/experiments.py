@@ -11,10 +11,20 @@ def pending_candidates(candidates: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def rank_candidates(results: DataFrame, higher_is_better: bool = True, missing_last: bool = True) -> DataFrame:
-    """Adds place (from 1) by metric; ties keep the order of submission (ordinal); a missing metric comes last, or first."""
+    """Adds place (from 1) by metric; ties keep the order of submission (ordinal); a missing metric comes last, or first.
+
+    Metrics are cut into 256 equal ranges between the lowest and the highest, whose counts put each range in its place, so
+    that no task orders all results.
+    """
+    ends = results.agg(F.min("metric").cast("double").alias("lowest"), (F.max("metric") - F.min("metric")).cast("double").alias("span"))
+    step = F.floor(255 * (F.col("metric") - F.col("lowest")) / F.col("span"))
+    at = F.when(F.col("metric").isNull(), 256 if missing_last else -1).when(F.col("span") > 0, 255 - step if higher_is_better else step).otherwise(0)
+    rows = results.crossJoin(F.broadcast(ends)).withColumn("range", at.cast("int")).select(*results.columns, "range")
+    counts = rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     order = F.col("metric").desc() if higher_is_better else F.col("metric").asc()
-    absent = F.col("metric").isNull()
-    return results.withColumn("place", F.row_number().over(Window.orderBy(absent.asc() if missing_last else absent.desc(), order, "ordinal")))
+    within = F.row_number().over(Window.partitionBy("range").orderBy(order, "ordinal"))
+    return rows.withColumn("within", within).join(F.broadcast(counts), "range").select(*results.columns, (F.col("ahead") + F.col("within")).cast("int").alias("place"))
 
 
 def compare_models(candidate: DataFrame, baseline: DataFrame) -> DataFrame:
@@ -31,15 +41,16 @@ def write_candidate(result: DataFrame, path: str) -> None:
 def progress_estimates(log: DataFrame, units: DataFrame, at_least: int = 3) -> DataFrame:
     """Time of each completed unit and what is left: run_id, ordinal, seconds, elapsed, done, eta.
 
-    ``log`` has run_id, ordinal and finished (seconds from the run's start); ``units`` run_id and total. The estimate is the
-    running mean times the units left: null until ``at_least`` are done, 0 at the end.
+    ``log`` has run_id, ordinal and finished (seconds from the run's start); ``units`` run_id and total. Times that run
+    backwards count as 0. The estimate is the mean time of a unit so far times the units left: null until ``at_least`` are
+    done, 0 at the end.
     """
     order = Window.partitionBy("run_id").orderBy("ordinal")
-    rows = log.join(units, "run_id").withColumns({"seconds": F.col("finished") - F.coalesce(F.lag("finished").over(order), F.lit(0.0)), "done": F.row_number().over(order)})
-    mean = F.avg("seconds").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.coalesce(F.lag("finished").over(order), F.lit(0.0))
+    rows = log.join(units, "run_id").withColumns({"seconds": F.greatest(F.lit(0.0), F.col("finished") - before), "elapsed": F.greatest(F.lit(0.0), F.col("finished")), "done": F.row_number().over(order)})
     left = F.col("total") - F.col("done")
-    eta = F.when(left <= 0, 0.0).when(F.col("done") >= at_least, mean * left)
-    return rows.select("run_id", "ordinal", "seconds", F.col("finished").alias("elapsed"), "done", eta.alias("eta"))
+    eta = F.when(left <= 0, 0.0).when(F.col("done") >= at_least, F.col("elapsed") / F.col("done") * left)
+    return rows.select("run_id", "ordinal", "seconds", "elapsed", "done", eta.alias("eta"))
 
 
 def stage_durations(log: DataFrame, stages: DataFrame) -> DataFrame:

@@ -5,12 +5,13 @@ Files are rows (path, size_bytes, sha256).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavemill.functions.scalars import DIGEST, matches
+from wavemill.functions.scalars import DIGEST, UUID, matches, refuse
 
 
 def expected_files(ids: DataFrame, extensions: Sequence[str], key: str = "record_id") -> DataFrame:
@@ -23,14 +24,16 @@ def missing_companions(inventory: DataFrame, ids: DataFrame, extensions: Sequenc
     return expected_files(ids, extensions, key).join(inventory.select("path"), "path", "left_anti").select(key, "extension", "path")
 
 
-def manifest_violations(files: DataFrame) -> DataFrame:
-    """path, rule: files with a repeated path, a negative or missing size, or a digest that isn't 64 hex digits."""
+def manifest_violations(files: DataFrame, version: int = 1) -> DataFrame:
+    """path, rule: files with a repeated or blank path, a negative or missing size, a digest that isn't 64 hex digits, or (if the
+    manifest has a schema_version) another version."""
     repeated = files.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("path", F.lit("unique_path").alias("rule"))
     rules = F.array_compact(
         F.array(
             F.when(~F.coalesce(F.col("size_bytes") >= 0, F.lit(False)), "size"),
             F.when(~matches(F.col("sha256"), DIGEST), "digest"),
             F.when(~F.coalesce(F.length(F.trim("path")) > 0, F.lit(False)), "path"),
+            F.when(~F.col("schema_version").eqNullSafe(F.lit(version)), "schema_version") if "schema_version" in files.columns else F.lit(None).cast("string"),
         )
     )
     return files.select("path", F.explode(rules).alias("rule")).unionByName(repeated)
@@ -86,8 +89,18 @@ def shard_summary(windows: DataFrame) -> DataFrame:
 
 
 def build_dataset_index(shards: DataFrame, assignment: DataFrame) -> DataFrame:
-    """Shards with their partition and subject: partition, subject_id, and the shard's columns."""
-    return shards.join(assignment.select("record_id", "subject_id", "partition"), "record_id")
+    """Shards with their partition and subject: partition, subject_id, and the shard's columns.
+
+    Both must have the same records, a shard for each: a shard without membership, or the reverse, fails the job, since
+    then they are of different runs. So does a second shard of a record.
+    """
+    known = assignment.select(F.col("record_id").alias("member"), "subject_id", "partition")
+    both = shards.join(known, F.col("record_id") == F.col("member"), "full_outer")
+    both = both.where(refuse(F.col("member").isNotNull(), F.concat(F.lit("no partition for the shard of record "), F.col("record_id"))))
+    both = both.where(refuse(F.col("record_id").isNotNull(), F.concat(F.lit("no shard of record "), F.col("member"))))
+    again = F.count(F.lit(1)).over(Window.partitionBy("record_id"))
+    both = both.withColumn("again", again).where(refuse(F.col("again") == 1, F.concat(F.lit("several shards of record "), F.col("record_id"))))
+    return both.select("record_id", "subject_id", "partition", *(c for c in shards.columns if c != "record_id"))
 
 
 def repeated_shards(shards: DataFrame, shard: str = "path") -> DataFrame:
@@ -109,15 +122,37 @@ def missing_files(index: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def run_manifest(files: DataFrame, roles: DataFrame, run_id: str) -> DataFrame:
-    """run_id, role, path, size_bytes, sha256 of files whose path has a role; with an order-free digest of all, digest_sum."""
+    """run_id, role, path, size_bytes, sha256 of the files whose path has a role. A path that is listed twice, in the files or in
+    the roles, fails the job; a run id must be a UUID."""
+    if not re.fullmatch(UUID, run_id):
+        raise ValueError("a run id must be a UUID")
     rows = files.join(roles, "path").select(F.lit(run_id).alias("run_id"), "role", "path", "size_bytes", "sha256")
-    return rows.withColumn("row_digest", F.xxhash64("role", "path", "size_bytes", "sha256"))
+    times = F.count(F.lit(1)).over(Window.partitionBy("path"))
+    rows = rows.withColumn("times", times).where(refuse(F.col("times") == 1, F.concat(F.lit("listed twice: "), F.col("path"))))
+    return rows.drop("times")
+
+
+def manifest_digest(manifest: DataFrame) -> DataFrame:
+    """By run: files, size_bytes, and digest bigint, the sum of the first 32 bits of an md5 of each row, whatever their order."""
+    row = F.md5(F.concat_ws("|", "role", "path", F.col("size_bytes").cast("string"), "sha256"))
+    part = F.conv(F.substring(row, 1, 8), 16, 10).cast("long")
+    return manifest.groupBy("run_id").agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes"), F.sum(part).alias("digest"))
 
 
 def duplicate_paths(files: DataFrame) -> DataFrame:
     return files.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def disclosure(scored: DataFrame, approvals: DataFrame, run_id: str, policy: Mapping[str, object]) -> DataFrame:
+    """One row on what a held-out evaluation discloses, if the run is approved: run_id, owner, policy_id, policy_version, the
+    policy's sorted lists (disclosures, limitations, prohibited_claims), and records and windows scored (rows with record_id)."""
+    lists = {k: F.array(*(F.lit(x) for x in sorted(policy[k]))) if policy[k] else F.expr("cast(array() as array<string>)") for k in ("disclosures", "limitations", "prohibited_claims")}
+    counts = scored.agg(F.count_distinct("record_id").alias("records"), F.count(F.lit(1)).alias("windows"))
+    run = approvals.where(F.col("run_id") == run_id).select("run_id", "owner").limit(1)
+    stated = {"policy_id": F.lit(policy["policy_id"]), "policy_version": F.lit(policy["version"]), **lists}
+    return run.crossJoin(F.broadcast(counts)).withColumns(stated)
+
+
 def inventory_totals(files: DataFrame, by: str) -> DataFrame:
     return files.groupBy(by).agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes"))
 

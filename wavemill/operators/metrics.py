@@ -90,9 +90,9 @@ def error_breakdown(predictions: DataFrame, by: str, positive: int = 1) -> DataF
     """Positives by ``by``: missed, caught, and the share that each has of all missed and of all caught."""
     rows = predictions.where(F.col("label") == positive).groupBy(by)
     rows = rows.agg(F.count_if(F.col("prediction") != positive).alias("missed"), F.count_if(F.col("prediction") == positive).alias("caught"))
-    every = Window.partitionBy()
-    share = lambda c: ratio(F.col(c), F.sum(c).over(every)).alias(f"{c}_share")
-    return rows.select("*", share("missed"), share("caught"))
+    totals = rows.agg(F.sum("missed").alias("all_missed"), F.sum("caught").alias("all_caught"))
+    share = lambda c: ratio(F.col(c), F.col(f"all_{c}")).alias(f"{c}_share")
+    return rows.crossJoin(F.broadcast(totals)).select(*rows.columns, share("missed"), share("caught"))
 
 
 def class_balance(rows: DataFrame, by: Sequence[str], label: str) -> DataFrame:
@@ -105,10 +105,16 @@ def null_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns))
 
 
-def column_summary(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A row for each numeric column: column, n, mean, stddev, lowest, highest."""
+def column_summary(rows: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """A row for each numeric column: column, n, mean, stddev, lowest, p25, p50, p75, highest.
+
+    Percentiles are exact, between neighbours in proportion, which holds a count of each different value; with ``accuracy``
+    they are approximate in bounded memory, for columns of very many values.
+    """
     stats: list[Column] = []
     for c in columns:
         x = F.col(c).cast("double")
-        stats.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"), F.min(x).alias("lowest"), F.max(x).alias("highest")))
+        at = lambda p: F.percentile(x, p) if accuracy is None else F.percentile_approx(x, p, accuracy)  # noqa: B023, E731
+        quarters = [at(p).alias(f"p{int(100 * p)}") for p in (0.25, 0.5, 0.75)]
+        stats.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"), F.min(x).alias("lowest"), *quarters, F.max(x).alias("highest")))
     return rows.agg(F.array(*stats).alias("rows")).select(F.inline("rows"))

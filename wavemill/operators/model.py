@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -11,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wavemill.operators.lineage import read_partition, verify_lineage
+from wavemill.operators.metrics import confusion_matrix, overall_metrics
+from wavemill.operators.quality import require_none, verify_counts
+
 
 @dataclass(frozen=True)
 class CentroidModel:
@@ -21,11 +26,20 @@ class CentroidModel:
     centroids: np.ndarray
 
 
-def sign_projection_rows(spark: SparkSession, features: int, components: int, seed: int) -> DataFrame:
-    """feature, component, weight: signs from an md5 of seed and place, over the root of components, so SQL can make it too."""
-    rows = spark.range(features).select(F.col("id").cast("int").alias("feature")).crossJoin(spark.range(components).select(F.col("id").cast("int").alias("component")))
+def sign_projection(rows: DataFrame, components: int, seed: int, vector: str = "window") -> DataFrame:
+    """feature, component, weight for the widest vector of ``rows``: signs from an md5 of seed and place, over the root of
+    components, so SQL can make it too. Only the width is aggregated; no vectors give no rows."""
+    width = rows.agg(F.max(F.size(vector)).alias("width")).where("width > 0")
+    places = width.select(F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("feature"))
+    places = places.withColumn("component", F.explode(F.sequence(F.lit(0), F.lit(components - 1))))
     digit = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "feature", "component")), 1, 1), 16, 10).cast("int")
-    return rows.withColumn("weight", F.when(digit < 8, 1.0).otherwise(-1.0) / F.lit(math.sqrt(components)))
+    return places.withColumn("weight", F.when(digit < 8, 1.0).otherwise(-1.0) / F.lit(math.sqrt(components)))
+
+
+def sign_matrix(features: int, components: int, seed: int) -> np.ndarray:
+    """The same as a matrix."""
+    low = lambda f, c: hashlib.md5(f"{seed}:{f}:{c}".encode()).hexdigest()[0] < "8"
+    return np.array([[1.0 if low(f, c) else -1.0 for c in range(components)] for f in range(features)]) / math.sqrt(components)
 
 
 def projection_matrix(features: int, components: int, seed: int) -> np.ndarray:
@@ -33,14 +47,6 @@ def projection_matrix(features: int, components: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((features, components)) / math.sqrt(components)
 
 
-def matrix_of(rows: DataFrame, row: str, column: str, value: str) -> np.ndarray:
-    """A model table as a matrix; it has features x components entries at most, however large the data."""
-    found = rows.select(row, column, value).toPandas()
-    out = np.zeros((int(found[row].max()) + 1, int(found[column].max()) + 1))
-    out[found[row], found[column]] = found[value]
-    return out
-
-
 def project(rows: DataFrame, projection: np.ndarray, vector: str = "window") -> DataFrame:
     """Adds projected array<double> in one Arrow pass; a vector that is null or of another length gives null."""
     shared = rows.sparkSession.sparkContext.broadcast(projection)
@@ -87,27 +93,37 @@ def fit_nearest_centroid(train: DataFrame, projection: np.ndarray, vector: str =
 
 
 def model_rows(spark: SparkSession, model: CentroidModel) -> tuple[DataFrame, DataFrame]:
-    """The model as tables: (feature, component, weight) and (class, component, value)."""
+    """The model as tables: (feature, component, weight) and (place, class, component, value), the place being the class's in
+    the model."""
     weights = [(f, c, float(x)) for (f, c), x in np.ndenumerate(model.projection)]
-    values = [(model.classes[k], c, float(x)) for (k, c), x in np.ndenumerate(model.centroids)]
-    return spark.createDataFrame(weights, "feature int, component int, weight double"), spark.createDataFrame(values, "class int, component int, value double")
+    values = [(k, model.classes[k], c, float(x)) for (k, c), x in np.ndenumerate(model.centroids)]
+    return spark.createDataFrame(weights, "feature int, component int, weight double"), spark.createDataFrame(values, "place int, class int, component int, value double")
+
+
+def model_metadata(model: CentroidModel, train: DataFrame, label: str = "target_value") -> DataFrame:
+    """One row on what a model was fitted on: partition, records, windows, features, components, and windows by class as a
+    sorted map."""
+    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(label, "n")))).alias("classes"))
+    rows = train.agg(F.count_distinct("record_id").alias("records"), F.count(F.lit(1)).alias("windows"))
+    return rows.crossJoin(counts).select(F.lit("train").alias("partition"), "records", "windows", F.lit(model.projection.shape[0]).alias("features"), F.lit(model.projection.shape[1]).alias("components"), "classes")
 
 
 def validate_model(projection: DataFrame, centroids: DataFrame) -> DataFrame:
-    """rule, ok: both tables full and finite, at least two classes, components alike."""
-    p = projection.agg(
-        (F.count(F.lit(1)) == F.count_distinct("feature") * F.count_distinct("component")).alias("projection_full"),
-        F.bool_and(F.col("weight").isNotNull() & ~F.isnan("weight") & (F.abs("weight") < float("inf"))).alias("projection_finite"),
-        F.count_distinct("component").alias("m"),
-    )
+    """rule, ok: both tables full and finite, at least two classes, each in one place and in ascending order, components alike.
+    An empty table breaks the rules on what it should hold."""
+    finite = lambda c: F.coalesce(F.bool_and(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))), F.lit(False))
+    whole = lambda rows, columns: (F.count(F.lit(1)) == F.count_distinct(rows) * F.count_distinct(columns)) & (F.count(F.lit(1)) == F.count_distinct(rows, columns)) & (F.count(F.lit(1)) > 0)
+    order = F.transform(F.array_sort(F.collect_set(F.struct("place", "class"))), lambda x: x["class"])
+    p = projection.agg(whole("feature", "component").alias("projection_full"), finite("weight").alias("projection_finite"), F.count_distinct("component").alias("m"))
     c = centroids.agg(
-        (F.count(F.lit(1)) == F.count_distinct("class") * F.count_distinct("component")).alias("centroids_full"),
-        F.bool_and(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf"))).alias("centroids_finite"),
+        whole("place", "component").alias("centroids_full"),
+        finite("value").alias("centroids_finite"),
         (F.count_distinct("class") >= 2).alias("two_classes"),
+        (order == F.array_sort(F.collect_set("class"))).alias("classes_sorted"),
         F.count_distinct("component").alias("k"),
     )
     both = p.crossJoin(c).withColumn("same_components", F.col("m") == F.col("k"))
-    rules = ["projection_full", "projection_finite", "centroids_full", "centroids_finite", "two_classes", "same_components"]
+    rules = ["projection_full", "projection_finite", "centroids_full", "centroids_finite", "two_classes", "classes_sorted", "same_components"]
     return both.select(F.inline(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("ok")) for r in rules))))
 
 
@@ -152,6 +168,20 @@ def score_sql(rows: DataFrame, projection: DataFrame, centroids: DataFrame, key:
     return placed.where("place = 1").select(*key, F.col("class").alias("prediction"), (F.col("next") - F.col("d")).alias("margin"))
 
 
+def evaluate(rows: DataFrame, model: CentroidModel, index: DataFrame, recorded: DataFrame, observed: DataFrame, classes: Sequence[int], partition: str = "validation") -> DataFrame:
+    """Overall metrics of a model on one partition, as one job that first proves what it reads.
+
+    ``rows`` has record_id, partition, target_value and window; ``index`` record_id and window_count of the partition;
+    ``recorded`` (role, path, size_bytes, sha256) what the training run noted of its files, and ``observed`` the files now. A
+    file that is missing or differs, or a record whose windows are not as many as the index says, fails the job.
+    """
+    own = read_partition(rows, partition)
+    own = require_none(own, verify_lineage(recorded, observed).where("not ok"), F.concat_ws(" ", F.lit("not as recorded:"), "role", "path"))
+    own = require_none(own, verify_counts(own, index).where("not ok"), F.concat(F.lit("not as many windows as in the index: record "), F.col("record_id")))
+    scored = score(own, model).select(F.col("target_value").alias("label"), "prediction")
+    return overall_metrics(confusion_matrix(scored, classes))
+
+
 def _vectors(rows: DataFrame, vector: str) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavemill.functions.scalars import all_finite, is_close
+from wavemill.functions.scalars import all_finite, is_close, non_empty, ratio, refuse
 from wavemill.operators.split import PARTITIONS, leakage, partition_summary
 
 
@@ -58,17 +58,20 @@ def validate_records(records: DataFrame, chunks: DataFrame, annotations: DataFra
     return rows.select("record_id", F.inline(F.array(*(F.struct(F.lit(r).alias("rule"), ok.alias("ok")) for r, ok in rules.items()))))
 
 
-def record_report(records: DataFrame, annotations: DataFrame) -> DataFrame:
-    """record_id, sample_count, channels, annotations, and counts by symbol as a sorted map."""
+def record_report(records: DataFrame, annotations: DataFrame, rules: DataFrame) -> DataFrame:
+    """record_id, sample_count, channels, annotations, counts by symbol as a sorted map, and the names of the rules that the
+    record passed, sorted; ``rules`` has record_id, rule, ok, as from :func:`validate_records`."""
+    passed = rules.where("ok").groupBy("record_id").agg(F.array_sort(F.collect_set("rule")).alias("passed"))
     counts = annotations.groupBy("record_id", "symbol").agg(F.count(F.lit(1)).alias("n")).groupBy("record_id")
     counts = counts.agg(F.sum("n").alias("annotations"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", "n")))).alias("symbols"))
-    out = records.join(counts, "record_id", "left")
-    empty = F.expr("cast(map() as map<string, bigint>)")
-    return out.select("record_id", "sample_count", F.size("channel_names").alias("channels"), F.coalesce("annotations", F.lit(0)).alias("annotations"), F.coalesce("symbols", empty).alias("symbols"))
+    out = records.join(counts, "record_id", "left").join(passed, "record_id", "left")
+    none, empty = F.expr("cast(array() as array<string>)"), F.expr("cast(map() as map<string, bigint>)")
+    found = (F.coalesce("annotations", F.lit(0)).alias("annotations"), F.coalesce("symbols", empty).alias("symbols"), F.coalesce("passed", none).alias("passed"))
+    return out.select("record_id", "sample_count", F.size("channel_names").alias("channels"), *found)
 
 
 def validate_windows(windows: DataFrame) -> DataFrame:
-    """By record: rows, and whether widths are equal, samples finite, centres not negative, and centres in order."""
+    """By record: rows, and whether widths are equal, samples finite, centres not negative, centres in order, and the id not blank."""
     before = F.lag("center_sample_index").over(Window.partitionBy("record_id").orderBy("ordinal"))
     rows = windows.withColumn("fell", F.coalesce(F.col("center_sample_index") < before, F.lit(False)))
     return rows.groupBy("record_id").agg(
@@ -77,6 +80,7 @@ def validate_windows(windows: DataFrame) -> DataFrame:
         F.bool_and(all_finite(F.col("window"))).alias("finite"),
         F.bool_and(F.col("center_sample_index") >= 0).alias("centres_valid"),
         (~F.bool_or("fell")).alias("centres_ordered"),
+        F.bool_and(non_empty(F.col("record_id").cast("string"))).alias("ids_filled"),
     )
 
 
@@ -96,18 +100,32 @@ class SplitQualityConfig:
     warn_only: tuple[str, ...] = ()
 
 
-def split_diagnostics(windows: DataFrame, assignment: DataFrame) -> DataFrame:
-    """By partition: its shares of subjects, records, windows and positives, and its prevalence."""
-    rows = partition_summary(windows, assignment)
-    every = Window.partitionBy()
-    share = lambda c, name: F.when(F.sum(c).over(every) > 0, F.col(c) / F.sum(c).over(every)).otherwise(0.0).alias(name)
+def split_diagnostics(windows: DataFrame, assignment: DataFrame, ratios: Sequence[float] = (0.7, 0.15, 0.15), shards: DataFrame | None = None) -> DataFrame:
+    """By partition: subjects, records, shards, windows and counts of both classes, its shares of them and of positives, its
+    prevalence, the share of subjects that was asked for, and how far the real one is off.
+
+    ``shards`` has record_id and path of each shard; without it each record is a shard.
+    """
+    rows, spark = partition_summary(windows, assignment), windows.sparkSession
+    if shards is None:
+        rows = rows.withColumn("shards", F.col("records"))
+    else:
+        held = shards.join(assignment, "record_id").groupBy("partition").agg(F.count_distinct("path").alias("shards"))
+        rows = rows.join(held, "partition", "left").na.fill(0, ["shards"])
+    asked = spark.createDataFrame(list(zip(PARTITIONS, map(float, ratios), strict=True)), "partition string, asked double")
+    totals = rows.agg(*(F.sum(c).alias(f"all_{c}") for c in ("subjects", "records", "shards", "windows", "class_1")))
+    rows = rows.join(asked, "partition").crossJoin(F.broadcast(totals))
+    share = lambda c, name: ratio(F.col(c), F.col(f"all_{c}")).alias(name)
     return rows.select(
-        "partition",
+        *("partition", "subjects", "records", "shards", "windows", "class_0", "class_1"),
         share("subjects", "subject_share"),
         share("records", "record_share"),
+        share("shards", "shard_share"),
         share("windows", "window_share"),
         share("class_1", "positive_share"),
-        F.when(F.col("windows") > 0, F.col("class_1") / F.col("windows")).otherwise(0.0).alias("prevalence"),
+        ratio(F.col("class_1"), F.col("windows")).alias("prevalence"),
+        "asked",
+        F.abs(ratio(F.col("subjects"), F.col("all_subjects")) - F.col("asked")).alias("deviation"),
     )
 
 
@@ -171,6 +189,18 @@ def identity_check(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.agg(F.count_distinct(F.struct(*columns)).alias("identities")).withColumn("single", F.col("identities") <= 1)
 
 
+def odd_records(rows: DataFrame, columns: Sequence[str], key: str = "record_id") -> DataFrame:
+    """Rows whose identity columns differ, nulls alike, from those of the row of the smallest key: key and the columns."""
+    said = F.struct(*columns)
+    first = rows.agg(F.min_by(said, key).alias("first"))
+    return rows.crossJoin(F.broadcast(first)).where(~said.eqNullSafe(F.col("first"))).select(key, *columns)
+
+
+def channel_usage(channels: DataFrame) -> DataFrame:
+    """How many records use each channel: channel_name (null where a record has none), n."""
+    return channels.groupBy("channel_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def verify_counts(rows: DataFrame, index: DataFrame, key: str = "record_id") -> DataFrame:
     """Rows by key counted again and compared with an index (key, window_count): key, stated, counted, ok."""
     counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("counted"))
@@ -178,6 +208,13 @@ def verify_counts(rows: DataFrame, index: DataFrame, key: str = "record_id") ->
     return both.select(key, "stated", "counted", F.coalesce(F.col("stated") == F.col("counted"), F.lit(False)).alias("ok"))
 
 
+def require_none(rows: DataFrame, violations: DataFrame, message: Column) -> DataFrame:
+    """``rows`` if there are no violations; otherwise the job that reads them fails with the smallest message and their number."""
+    found = violations.agg(F.count(F.lit(1)).alias("n"), F.min(message).alias("first"))
+    clear = found.where(refuse(F.col("n") == 0, F.concat_ws(" ", F.col("n").cast("string"), F.lit("violations:"), F.col("first")))).select(F.lit(1).alias("clear"))
+    return rows.crossJoin(F.broadcast(clear)).drop("clear")
+
+
 class QualityError(RuntimeError):
     """Data violate rules that stop a job."""
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import heapq
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wavemill.functions.scalars import refuse
+
 PARTITIONS = ("train", "validation", "test")
 
 
@@ -19,24 +25,32 @@ class SplitConfig:
 
 
 def partition_sizes(n: int, ratios: Sequence[float]) -> list[int]:
-    """Whole subjects for each partition: truncated shares, the rest to the largest remainders (ties to the first), and an
-    empty one takes one from the first of the largest. Fewer subjects than partitions is an error."""
+    """Whole subjects for each partition by largest remainders, none empty.
+
+    Each partition is due its quota, n times its ratio as it is written. The parts of the quotas below 1 add up to a whole
+    number of subjects, which go to the largest of those parts, the first of equal ones. A partition that would be left
+    with none is given one; what that gives too many is taken from the largest, one by one, the first of equal ones. Fewer
+    subjects than partitions is an error.
+    """
     if n < len(ratios):
         raise ValueError(f"{n} subjects can't fill {len(ratios)} partitions")
-    exact = [n * r for r in ratios]
-    sizes = [int(x) for x in exact]
-    by_rest = sorted(range(len(ratios)), key=lambda k: (-(exact[k] - sizes[k]), k))
-    for k in by_rest[: n - sum(sizes)]:
-        sizes[k] += 1
-    for k, size in enumerate(sizes):
-        if not size:
-            sizes[sizes.index(max(sizes))] -= 1
-            sizes[k] += 1
+    quotas = [Fraction(str(r)) * n for r in ratios]
+    rest = n - sum(int(q) for q in quotas)
+    favoured = heapq.nlargest(rest, range(len(quotas)), key=lambda k: (quotas[k] % 1, -k))
+    sizes = [max(1, int(q) + (k in favoured)) for k, q in enumerate(quotas)]
+    for _ in range(sum(sizes) - n):
+        sizes[max(range(len(sizes)), key=lambda k: (sizes[k], -k))] -= 1
     return sizes
 
 
 def attach_subjects(rows: DataFrame, record_subjects: DataFrame) -> DataFrame:
-    return rows.join(record_subjects.select("record_id", "subject_id"), "record_id")
+    """Rows with the subject_id of their record. The map must cover the records exactly: a record without a subject, or a
+    subject's record without rows, fails the job, since either would let records escape the grouping; see :func:`narrow_subjects`."""
+    known = record_subjects.select("record_id", "subject_id")
+    spare = known.join(rows.select("record_id").distinct(), "record_id", "left_anti").agg(F.count(F.lit(1)).alias("n"), F.min("record_id").alias("first"))
+    spare = spare.where(refuse(F.col("n") == 0, F.concat_ws(" ", F.col("n").cast("string"), F.lit("records have a subject and no rows; the first is"), F.col("first")))).select(F.lit(1).alias("covered"))
+    out = rows.join(known, "record_id", "left").where(refuse(F.col("subject_id").isNotNull(), F.concat(F.lit("no subject for record "), F.coalesce("record_id", F.lit("null")))))
+    return out.crossJoin(F.broadcast(spare)).drop("covered")
 
 
 def narrow_subjects(record_subjects: DataFrame, rows: DataFrame) -> DataFrame:
@@ -47,31 +61,52 @@ def narrow_subjects(record_subjects: DataFrame, rows: DataFrame) -> DataFrame:
 def split_subjects(subjects: DataFrame, config: SplitConfig) -> DataFrame:
     """subject_id, partition: subjects in the order of a seeded md5, cut at the sizes of the partitions.
 
-    The order is by 256 leading-hex ranges: their counts (256 rows) give each range its offset and ranks are local to a
-    range, so no task orders all subjects. One action counts the subjects.
+    The order is by 256 ranges of the hash. One action counts the subjects of each range (256 rows), which gives the sizes
+    and each range's offset; ranks are local to a range, so no task orders all subjects.
     """
     subjects = subjects.select("subject_id").distinct()
-    sizes = partition_sizes(subjects.count(), config.ratios)
     rows = subjects.withColumn("draw", F.md5(F.concat(F.lit(f"{config.seed}:"), F.col("subject_id").cast("string")))).withColumn("slice", F.substring("draw", 1, 2))
-    slices = rows.groupBy("slice").agg(F.count(F.lit(1)).alias("n"))
-    slices = slices.withColumn("ahead", F.coalesce(F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.col("ahead") + F.row_number().over(Window.partitionBy("slice").orderBy("draw", "subject_id"))
-    rows = rows.join(F.broadcast(slices.select("slice", "ahead")), "slice").withColumn("place", place)
+    counts = sorted((r["slice"] or "", r["n"]) for r in rows.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect())
+    sizes = partition_sizes(sum(n for _, n in counts), config.ratios)
+    ahead = list(accumulate((n for _, n in counts), initial=0))
+    offsets = F.create_map(*(F.lit(x) for (name, _), upto in zip(counts, ahead, strict=False) for x in (name, upto)))
+    place = offsets[F.coalesce("slice", F.lit(""))] + F.row_number().over(Window.partitionBy("slice").orderBy("draw", "subject_id"))
+    return _cut(rows.withColumn("place", place), sizes)
+
+
+def _cut(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """subject_id, partition of rows with a place from 1."""
     cut = F.when(F.col("place") <= sizes[0], PARTITIONS[0]).when(F.col("place") <= sizes[0] + sizes[1], PARTITIONS[1]).otherwise(PARTITIONS[2])
     return rows.select("subject_id", cut.alias("partition"))
 
 
-def split_subjects_shuffled(subjects: DataFrame, config: SplitConfig, most: int = 1_000_000) -> DataFrame:
-    """The same with the order of Python's seeded shuffle over the sorted subjects; for at most ``most`` of them, since it is
-    made on the driver."""
-    names = [r[0] for r in subjects.select("subject_id").distinct().orderBy("subject_id").limit(most + 1).collect()]
-    if len(names) > most:
+def split_subjects_shuffled(subjects: DataFrame, config: SplitConfig, most: int = 10_000_000) -> DataFrame:
+    """The same with the order of Python's seeded shuffle over the sorted subjects, for at most ``most`` of them.
+
+    Subjects are ranked in Spark: they are counted by the first characters of their ids, and ranked within those. That
+    shuffle is one sequence of swaps, so the order of the places (whole numbers, no subjects) is made in one task, and joined
+    to the ranks. Only the counts reach the driver.
+    """
+    rows = subjects.select("subject_id").distinct().withColumn("head", F.substring(F.col("subject_id").cast("string"), 1, 4))
+    counts = rows.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
+    n = rows.count()
+    if n > most:
         raise ValueError(f"over {most} subjects: use split_subjects")
-    random.Random(config.seed).shuffle(names)
-    sizes = partition_sizes(len(names), config.ratios)
-    parts = [p for p, n in zip(PARTITIONS, sizes, strict=True) for _ in range(n)]
-    kind = subjects.schema["subject_id"].dataType.simpleString()
-    return subjects.sparkSession.createDataFrame(list(zip(names, parts, strict=True)), f"subject_id {kind}, partition string")
+    sizes, seed = partition_sizes(n, config.ratios), config.seed
+    ahead = counts.withColumn("ahead", F.coalesce(F.sum("n").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy("head").orderBy("subject_id"))
+    ranked = rows.withColumn("within", within).join(ahead.select("head", "ahead"), "head").select("subject_id", (F.col("ahead") + F.col("within") - 1).alias("rank"))
+
+    def shuffled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            order = list(range(n))
+            random.Random(seed).shuffle(order)
+            for low in range(0, n, 10_000):
+                some = order[low : low + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(range(low + 1, low + 1 + len(some)), pa.int64())], ["rank", "place"])
+
+    places = subjects.sparkSession.range(0, 1, 1, 1).mapInArrow(shuffled, "rank bigint, place bigint")
+    return _cut(ranked.join(places, "rank"), sizes)
 
 
 def grouped_split(windows: DataFrame, record_subjects: DataFrame, config: SplitConfig) -> DataFrame:

@@ -65,6 +65,13 @@ def window_bounds(annotations: DataFrame, records: DataFrame, config: WindowConf
     return rows.withColumn("status", classify_bounds(F.col("left"), F.col("right"), F.col("sample_count")))
 
 
+def records_with_windows(annotations: DataFrame, records: DataFrame, config: WindowConfig) -> DataFrame:
+    """record_id of the records that have a window within their bounds, without reading samples."""
+    bounds = window_bounds(annotations, records, config).where("status = 'emitted'")
+    channels = resolve_channel(records, config).where("channel_name is not null").select("record_id")
+    return bounds.select("record_id").distinct().join(channels, "record_id", "left_semi")
+
+
 def extract_windows(annotations: DataFrame, chunks: DataFrame, records: DataFrame, config: WindowConfig, chunk_size: int) -> DataFrame:
     """One array of samples for each mapped annotation whose window lies within its record.
 

@@ -80,17 +80,19 @@ def a6(spark, sf):
 
 @register(
     "a7_manifest_violations",
-    """WITH files AS (SELECT 'doc/' || CASE WHEN doc_id % 50 = 1 THEN doc_id - 1 ELSE doc_id END AS path, CASE WHEN doc_id % 7 = 0 THEN -1 ELSE n_chars END AS size_bytes,
-  CASE WHEN doc_id % 11 = 0 THEN lang ELSE sha256("text") END AS sha256 FROM documents)
-SELECT path, 'size' AS rule FROM files WHERE size_bytes < 0 UNION ALL SELECT path, 'digest' FROM files WHERE NOT regexp_matches(sha256, '^[0-9a-fA-F]{64}$')
-UNION ALL SELECT path, 'unique_path' FROM files GROUP BY path HAVING count(*) > 1""",
+    """WITH files AS (SELECT doc_id % 17 = 5 AS blank, doc_id % 13 = 0 AS old, CASE WHEN doc_id % 17 = 5 THEN repeat(' ', doc_id % 4 + 1)
+    ELSE 'doc/' || CASE WHEN doc_id % 50 = 1 THEN doc_id - 1 ELSE doc_id END END AS path, CASE WHEN doc_id % 7 = 0 THEN -1 ELSE n_chars END AS size_bytes, doc_id % 11 = 0 AS bad FROM documents)
+SELECT path, 'size' AS rule FROM files WHERE size_bytes < 0 UNION ALL SELECT path, 'digest' FROM files WHERE bad UNION ALL SELECT path, 'path' FROM files WHERE blank
+UNION ALL SELECT path, 'schema_version' FROM files WHERE old UNION ALL SELECT path, 'unique_path' FROM files GROUP BY path HAVING count(*) > 1""",
 )
 def a7(spark, sf):
-    docs = fx.table(spark, sf, "documents")
-    path = F.concat(F.lit("doc/"), F.when(F.col("doc_id") % 50 == 1, F.col("doc_id") - 1).otherwise(F.col("doc_id")).cast("string"))
-    digest = F.when(F.col("doc_id") % 11 == 0, F.col("lang")).otherwise(F.sha2(F.col("text").cast("binary"), 256))
-    size = F.when(F.col("doc_id") % 7 == 0, -1).otherwise(F.col("n_chars"))
-    return lineage.manifest_violations(docs.select(path.alias("path"), size.alias("size_bytes"), digest.alias("sha256")))
+    docs, at = fx.table(spark, sf, "documents"), F.col("doc_id")
+    path = F.concat(F.lit("doc/"), F.when(at % 50 == 1, at - 1).otherwise(at).cast("string"))
+    path = F.when(at % 17 == 5, F.repeat(F.lit(" "), (at % 4 + 1).cast("int"))).otherwise(path)
+    digest = F.when(at % 11 == 0, F.col("lang")).otherwise(F.sha2(F.col("text").cast("binary"), 256))
+    size = F.when(at % 7 == 0, -1).otherwise(F.col("n_chars"))
+    version = F.when(at % 13 == 0, 2).otherwise(1)
+    return lineage.manifest_violations(docs.select(path.alias("path"), size.alias("size_bytes"), digest.alias("sha256"), version.alias("schema_version")))
 
 
 _PLAN = f"""{fx.INVENTORY}, plan AS (SELECT m.record_id, m.path, CASE WHEN i.path IS NULL THEN 'fetch' WHEN i.size_bytes = m.size_bytes AND i.sha256 = m.sha256 THEN 'reuse' ELSE 'drifted' END AS action
@@ -123,7 +125,8 @@ def a9(spark, sf):
 
 @register("a10_discover_shards")
 def a10(spark, sf):
-    return tables.discover_shards(spark, [f"{sf}/documents.parquet"], "*.parquet")
+    """Every Parquet file that lies directly in the folder of tables."""
+    return tables.discover_shards(spark, [sf], "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
 _META = f"WITH {fx.WINDOWS} SELECT record_id, sample_index AS ordinal, sample_index AS center_sample_index, symbol AS source_symbol, target_value FROM win"
@@ -131,7 +134,8 @@ _META = f"WITH {fx.WINDOWS} SELECT record_id, sample_index AS ordinal, sample_in
 
 @register("a11_scan_window_metadata", _META)
 def a11(spark, sf):
-    return tables.scan_window_metadata(fx.windows(spark, sf)).drop("left", "right")
+    rows = fx.windows(spark, sf).withColumn("schema_version", F.lit(1))
+    return tables.scan_window_metadata(rows).drop("left", "right", "schema_version")
 
 
 @register("a12_scan_windows", f"WITH {fx.WINDOWS} SELECT record_id, sample_index AS ordinal, target_value = 0 AS valid FROM win")
@@ -162,7 +166,7 @@ def b2(spark, sf):
 @register("b3_exclude_records", f"WITH {fx.EV} SELECT record_id, sample_index, symbol FROM ev WHERE user_id % 10 <> 3")
 def b3(spark, sf):
     ids = fx.records(spark, sf).where("user_id % 10 = 3").select("record_id")
-    return fx.annotations(spark, sf).join(F.broadcast(ids), "record_id", "left_anti").select("record_id", "sample_index", "symbol")
+    return annotate.exclude_records(fx.annotations(spark, sf), ids).select("record_id", "sample_index", "symbol")
 
 
 @register("b4_classify_bounds", f"WITH {fx.BOUNDS} SELECT record_id, sample_index, status FROM bounds")
@@ -188,10 +192,14 @@ def b8(spark, sf):
     return lineage.gated_partition(rows, approvals, fx.RUN).select("record_id", "ordinal", "target_value")
 
 
-def _run_files(spark, sf):
-    files = fx.manifest(spark, sf)
-    roles = files.select("path", F.when(F.crc32(F.col("path").cast("binary")) % 2 == 0, "config").otherwise("evidence").alias("role"))
-    return lineage.run_manifest(files.drop("record_id"), roles, fx.RUN)
+OTHER_RUN = "00000000-0000-4000-8000-000000000002"
+
+
+def _run_files(spark, sf, run=fx.RUN, even="config"):
+    """Files of a run: those of even documents have one role, the others are evidence."""
+    files = fx.table(spark, sf, "documents").select("doc_id", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"), F.col("n_chars").alias("size_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+    roles = files.select("path", F.when(F.col("doc_id") % 2 == 0, even).otherwise("evidence").alias("role"))
+    return lineage.run_manifest(files.drop("doc_id"), roles, run)
 
 
 def _roles(spark):
@@ -226,9 +234,25 @@ def b9(spark, sf):
     return quality.validate_records(rows.drop("user_id"), chunks, marks, known, 1.0)
 
 
-@register("b10_validate_windows", f"WITH {fx.WINDOWS} SELECT record_id, count(*) AS windows, true AS equal_width, true AS finite, true AS centres_valid, true AS centres_ordered FROM win GROUP BY 1")
+@register(
+    "b10_validate_windows",
+    f"""WITH {fx.WINDOWS}, broken AS (SELECT user_id % 7 AS u, sample_index AS i, CASE WHEN user_id % 7 = 5 THEN ' ' ELSE record_id END AS record_id,
+  CASE user_id % 7 WHEN 3 THEN sample_index - 5 WHEN 4 THEN -sample_index WHEN 5 THEN 8 ELSE sample_index END AS c FROM win),
+fell AS (SELECT *, coalesce(c < lag(c) OVER (PARTITION BY record_id ORDER BY i), false) AS f FROM broken)
+SELECT record_id, count(*) AS windows, NOT (bool_or(u = 1 AND i % 2 = 1) AND bool_or(u = 1 AND i % 2 = 0)) AS equal_width, NOT bool_or(u = 2 AND i % 3 = 0) AS finite, min(c) >= 0 AS centres_valid,
+  NOT bool_or(f) AS centres_ordered, min(u) <> 5 AS ids_filled FROM fell GROUP BY 1""",
+)
 def b10(spark, sf):
-    return quality.validate_windows(fx.windows(spark, sf))
+    """Windows that break each rule in the records of one residue."""
+    u, i, w = F.col("record_id").cast("long") % 7, F.col("ordinal"), F.col("window")
+    centre = F.col("center_sample_index")
+    rows = fx.windows(spark, sf).select(
+        F.when(u == 5, " ").otherwise(F.col("record_id")).alias("record_id"),
+        "ordinal",
+        F.when(u == 3, centre - 5).when(u == 4, -centre).when(u == 5, 8).otherwise(centre).alias("center_sample_index"),
+        F.when((u == 1) & (i % 2 == 1), F.slice(w, 1, 3)).when((u == 2) & (i % 3 == 0), F.transform(w, lambda x: F.lit(float("nan")))).otherwise(w).alias("window"),
+    )
+    return quality.validate_windows(rows)
 
 
 @register("b11_categorise", "SELECT event_id, CASE WHEN event_type = 'view' THEN 0 WHEN event_type IN ('purchase', 'error') THEN 1 ELSE -1 END AS category FROM events")
@@ -266,9 +290,34 @@ def b16(spark, sf):
     return drift.vocabulary_drift(items, "conv_id", "roles", known).select("conv_id", F.array_join("unknown", ",").alias("unknown"))
 
 
-@register("b17_validate_model", "SELECT x AS rule, count(*) > 0 AS ok FROM embeddings, (VALUES ('projection_full'), ('projection_finite'), ('centroids_full'), ('centroids_finite'), ('two_classes'), ('same_components')) t(x) GROUP BY x")
+_MODEL_RULES = ["projection_full", "projection_finite", "centroids_full", "centroids_finite", "two_classes", "classes_sorted", "same_components"]
+
+
+@register(
+    "b17_validate_model",
+    f"""WITH broken AS (SELECT * FROM (VALUES ('whole', ''), ('gap', 'projection_full'), ('nan', 'projection_finite'), ('short', 'centroids_full'), ('inf', 'centroids_finite'), ('single', 'two_classes'),
+  ('turned', 'classes_sorted'), ('narrow', 'same_components')) t(model, rule)) SELECT model, x AS rule, x <> broken.rule AS ok
+FROM broken, (VALUES {', '.join(f"('{r}')" for r in _MODEL_RULES)}) r(x) WHERE (SELECT count(DISTINCT label) FROM embeddings) > 2""",
+)
 def b17(spark, sf):
-    return model.validate_model(*model.model_rows(spark, fx.model(spark, sf)))
+    """The fitted model, and seven that break a rule each."""
+    weights, values = model.model_rows(spark, fx.model(spark, sf))
+    first, last = (F.col("feature") == 3) & (F.col("component") == 2), (F.col("place") == 1) & (F.col("component") == 2)
+    broken = {
+        "whole": (weights, values),
+        "gap": (weights.where(~first), values),
+        "nan": (weights.withColumn("weight", F.when(first, float("nan")).otherwise(F.col("weight"))), values),
+        "short": (weights, values.where(~last)),
+        "inf": (weights, values.withColumn("value", F.when(last, float("-inf")).otherwise(F.col("value")))),
+        "single": (weights, values.where("place = 0")),
+        "turned": (weights, values.withColumn("place", -F.col("place"))),
+        "narrow": (weights, values.where("component < 7")),
+    }
+    found = None
+    for name, parts in broken.items():
+        one = model.validate_model(*parts).select(F.lit(name).alias("model"), "rule", "ok")
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 @register("b18_incompatible_rows", "SELECT vec_id AS ordinal FROM embeddings WHERE vec_id % 9 = 0 OR label % 2 = 1")
@@ -307,7 +356,8 @@ def c3b(spark, sf):
 
 @register("c4_attach_subjects", f"WITH {fx.WINDOWS} SELECT record_id, sample_index AS ordinal, CAST(user_id // 2 AS VARCHAR) AS subject_id FROM win")
 def c4(spark, sf):
-    return split.attach_subjects(fx.windows(spark, sf), fx.record_subjects(spark, sf)).select("record_id", "ordinal", "subject_id")
+    rows = fx.windows(spark, sf)
+    return split.attach_subjects(rows, split.narrow_subjects(fx.record_subjects(spark, sf), rows)).select("record_id", "ordinal", "subject_id")
 
 
 @register("c5_narrow_subjects", f"WITH {fx.WINDOWS} SELECT DISTINCT record_id, CAST(user_id // 2 AS VARCHAR) AS subject_id FROM win")
@@ -394,11 +444,11 @@ def d1(spark, sf):
     return annotate.symbol_counts(fx.annotations(spark, sf))
 
 
-@register("d2_record_report", f"WITH {fx.EV}, c AS (SELECT record_id, symbol, count(*) AS n FROM ev GROUP BY ALL) SELECT record_id, CAST(sum(n) AS BIGINT) AS sample_count, 2 AS channels, CAST(sum(n) AS BIGINT) AS annotations, string_agg(symbol || '=' || n, ',' ORDER BY symbol) AS symbols FROM c GROUP BY 1")
+@register("d2_record_report", f"WITH {_RULES}, c AS (SELECT record_id, symbol, count(*) AS n FROM ev GROUP BY ALL), p AS (SELECT record_id, string_agg(x.rule, ',' ORDER BY x.rule) AS passed FROM rules WHERE x.ok GROUP BY 1) SELECT record_id, CAST(sum(n) AS BIGINT) AS sample_count, 2 AS channels, CAST(sum(n) AS BIGINT) AS annotations, string_agg(symbol || '=' || n, ',' ORDER BY symbol) AS symbols, any_value(passed) AS passed FROM c JOIN p USING (record_id) GROUP BY 1")
 def d2(spark, sf):
-    rows = quality.record_report(fx.records(spark, sf), fx.annotations(spark, sf))
+    rows = quality.record_report(fx.records(spark, sf), fx.annotations(spark, sf), b9(spark, sf))
     entries = F.transform(F.array_sort(F.map_entries("symbols")), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string")))
-    return rows.withColumn("symbols", F.array_join(entries, ","))
+    return rows.withColumns({"symbols": F.array_join(entries, ","), "passed": F.array_join("passed", ",")})
 
 
 @register("d3_mapping_report", f"WITH {fx.EV}, {fx.MAPPING}, more AS (SELECT * FROM mapping UNION ALL SELECT 'never', 'other', 1, false) SELECT symbol, target_name, target_value, excluded, count(record_id) AS n FROM more LEFT JOIN ev USING (symbol) GROUP BY ALL")
@@ -445,9 +495,17 @@ def d9(spark, sf):
     return quality.identity_check(fx.table(spark, sf, "documents"), ["lang", "source"])
 
 
-@register("d10_channel_usage", "SELECT x AS channel_name, count(DISTINCT user_id) AS n FROM events, (VALUES ('value'), ('n')) t(x) GROUP BY 1")
+@register("d9_odd_records", "SELECT doc_id AS record_id, lang, source FROM documents WHERE (lang, source) IS DISTINCT FROM (SELECT (lang, source) FROM documents ORDER BY doc_id LIMIT 1)")
+def d9_odd(spark, sf):
+    return quality.odd_records(fx.table(spark, sf, "documents").select(F.col("doc_id").alias("record_id"), "lang", "source"), ["lang", "source"])
+
+
+@register("d10_channel_usage", "SELECT CASE user_id % 3 WHEN 0 THEN 'value' WHEN 1 THEN 'n' END AS channel_name, count(DISTINCT user_id) AS n FROM events GROUP BY 1")
 def d10(spark, sf):
-    return fx.records(spark, sf).select(F.explode("channel_names").alias("channel_name")).groupBy("channel_name").agg(F.count(F.lit(1)).alias("n"))
+    """The second of the channels that each record has, a third of them in another order and a third without one."""
+    names = F.when(F.col("user_id") % 3 == 0, F.reverse("channel_names")).when(F.col("user_id") % 3 == 2, F.array(F.lit("value"))).otherwise(F.col("channel_names"))
+    rows = fx.records(spark, sf).withColumn("channel_names", names)
+    return quality.channel_usage(windowing.resolve_channel(rows, windowing.WindowConfig(2.0, 2.0, channel_index=1)))
 
 
 @register("d11_class_balance", "WITH c AS (SELECT lang, quality, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY ALL) SELECT lang, quality, n, round(n / sum(n) OVER (PARTITION BY lang), 9) AS share FROM c")
@@ -518,7 +576,10 @@ def d19(spark, sf):
     return _rounded(metrics.majority_baseline(fx.predictions(spark, sf)), "majority_accuracy", "accuracy", "gain", digits=9)
 
 
-@register("d20_column_summary", "SELECT 'l_quantity' AS \"column\", count(l_quantity) AS n, round(avg(l_quantity), 6) AS mean, round(stddev_samp(l_quantity), 6) AS stddev, min(l_quantity) AS lowest, max(l_quantity) AS highest FROM lineitem UNION ALL SELECT 'l_discount', count(l_discount), round(avg(l_discount), 6), round(stddev_samp(l_discount), 6), min(l_discount), max(l_discount) FROM lineitem")
+_SUMMARISED = "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, min({c}) AS lowest, quantile_cont({c}::DOUBLE, 0.25) AS p25, quantile_cont({c}::DOUBLE, 0.5) AS p50, quantile_cont({c}::DOUBLE, 0.75) AS p75, max({c}) AS highest FROM lineitem"
+
+
+@register("d20_column_summary", " UNION ALL ".join(_SUMMARISED.format(c=c) for c in ("l_quantity", "l_discount")))
 def d20(spark, sf):
     return _rounded(metrics.column_summary(fx.table(spark, sf, "lineitem"), ["l_quantity", "l_discount"]), "mean", "stddev")
 
@@ -534,8 +595,7 @@ def d21(spark, sf):
 
 @register("d22_class_means", f"WITH {fx.FEATURES} SELECT target_value, c AS component, round(avg(v), 6) AS value FROM proj JOIN part USING (ordinal) GROUP BY ALL")
 def d22(spark, sf):
-    matrix = model.matrix_of(fx.projection(spark), "feature", "component", "weight")
-    rows = model.class_means(model.project(fx.features(spark, sf), matrix))
+    rows = model.class_means(model.project(fx.features(spark, sf), model.sign_matrix(64, 8, 7)))
     return _rounded(rows.withColumn("component", F.col("component").cast("long")), "value")
 
 
@@ -567,14 +627,38 @@ def d26(spark, sf):
 
 @register(
     "d27_validate_split",
-    f"""WITH {fx.SUMMARY} SELECT x AS invariant, (SELECT count(*) = 3 FROM summary) AND x <> 'windows_agree' AND x <> 'classes_sum' AS ok FROM (VALUES ('subjects_agree'), ('records_agree'), ('windows_agree'), ('class_0_agree'), ('class_1_agree'),
+    f"""WITH {fx.SUMMARY}, broken AS (SELECT * FROM (VALUES ('whole', ''), ('counts', 'subjects_agree,records_agree,windows_agree,class_0_agree,class_1_agree,classes_sum,subjects_within_records'),
+  ('name', 'subjects_agree,records_agree,windows_agree,class_0_agree,class_1_agree,partitions_known,none_empty')) t(said, rules))
+SELECT said, x AS invariant, (SELECT count(*) = 3 FROM summary) AND NOT list_contains(string_split(rules, ','), x) AS ok FROM broken, (VALUES ('subjects_agree'), ('records_agree'), ('windows_agree'), ('class_0_agree'), ('class_1_agree'),
   ('partitions_known'), ('classes_sum'), ('subjects_within_records'), ('none_empty'), ('subjects_disjoint'), ('records_disjoint'), ('records_covered')) t(x)""",
 )
 def d27(spark, sf):
-    """A summary whose windows of one partition are one too many."""
+    """A true summary, one whose counts of one partition are too many, and one with a partition of another name that has no subjects."""
     rows, parts = fx.windows(spark, sf), fx.assignment(spark, sf)
-    said = split.partition_summary(rows, parts).withColumn("windows", F.col("windows") + F.when(F.col("partition") == "test", 1).otherwise(0))
-    return quality.validate_split(parts, said, rows)
+    true, test = split.partition_summary(rows, parts), F.col("partition") == "test"
+    more = lambda c, by: F.col(c) + F.when(test, by).otherwise(0)
+    counts = true.withColumns({"subjects": more("subjects", 1_000_000), "records": more("records", 1), "windows": more("windows", 1), "class_0": more("class_0", 1), "class_1": more("class_1", 1)})
+    name = true.withColumns({"partition": F.when(test, "other").otherwise(F.col("partition")), "subjects": F.when(test, 0).otherwise(F.col("subjects"))})
+    found = None
+    for said, summary in {"whole": true, "counts": counts, "name": name}.items():
+        one = quality.validate_split(parts, summary, rows).select(F.lit(said).alias("said"), "invariant", "ok")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@register(
+    "d27_leaky_split",
+    """WITH a AS (SELECT DISTINCT user_id // 2 AS s, user_id % 2 AS p FROM events) SELECT x AS invariant,
+  CASE x WHEN 'subjects_disjoint' THEN (SELECT count(*) FROM (SELECT s FROM a GROUP BY s HAVING count(DISTINCT p) > 1)) = 0 WHEN 'records_covered' THEN (SELECT count(*) FROM events WHERE user_id % 5 = 0) = 0 ELSE true END AS ok
+FROM (VALUES ('subjects_disjoint'), ('records_disjoint'), ('records_covered')) t(x)""",
+)
+def d27_leaky(spark, sf):
+    """An assignment that parts the records of a subject and leaves some records out."""
+    rows = fx.events(spark, sf).select("record_id", F.lit(0).alias("target_value"))
+    parts = fx.record_subjects(spark, sf).withColumn("partition", F.when(F.col("record_id").cast("long") % 2 == 0, "train").otherwise("test"))
+    parts = parts.where(F.col("record_id").cast("long") % 5 != 0)
+    found = quality.validate_split(parts, split.partition_summary(rows, parts), rows)
+    return found.where(F.col("invariant").isin("subjects_disjoint", "records_disjoint", "records_covered"))
 
 
 # windows over rows
@@ -601,12 +685,12 @@ def e3(spark, sf):
 
 
 @register("e7_progress_estimates", """WITH l AS (SELECT CAST(user_id AS VARCHAR) AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ordinal, count(*) OVER (PARTITION BY user_id) AS total FROM events),
-t AS (SELECT *, (ordinal * ordinal)::DOUBLE AS finished FROM l)
-SELECT run_id, ordinal, finished - coalesce(lag(finished) OVER w, 0) AS seconds, finished AS elapsed, ordinal AS done,
+t AS (SELECT *, (ordinal * ordinal - CASE WHEN ordinal % 3 = 1 THEN 6 ELSE 0 END)::DOUBLE AS finished FROM l)
+SELECT run_id, ordinal, greatest(0.0, finished - coalesce(lag(finished) OVER w, 0))::DOUBLE AS seconds, greatest(0.0, finished)::DOUBLE AS elapsed, ordinal AS done,
   CASE WHEN total <= ordinal THEN 0.0 WHEN ordinal >= 3 THEN round(finished / ordinal * (total - ordinal), 6) END AS eta FROM t WINDOW w AS (PARTITION BY run_id ORDER BY ordinal)""")
 def e7(spark, sf):
     log = fx.events(spark, sf).select(F.col("record_id").alias("run_id"), (F.col("sample_index") + 1).alias("ordinal"))
-    log = log.withColumn("finished", (F.col("ordinal") * F.col("ordinal")).cast("double"))
+    log = log.withColumn("finished", (F.col("ordinal") * F.col("ordinal") - F.when(F.col("ordinal") % 3 == 1, 6).otherwise(0)).cast("double"))  # runs backwards at times
     units = fx.records(spark, sf).select(F.col("record_id").alias("run_id"), F.col("sample_count").alias("total"))
     rows = _rounded(experiments.progress_estimates(log, units), "eta")
     return rows.withColumn("done", F.col("done").cast("long"))
@@ -663,12 +747,9 @@ def f1(spark, sf):
     return fx.records(spark, sf).select("record_id").distinct().orderBy("record_id")
 
 
-@register("f2_rank_candidates", "WITH c AS (SELECT p_brand AS candidate_id, row_number() OVER (ORDER BY p_brand) AS ordinal, CASE WHEN count(*) % 3 = 0 THEN NULL ELSE count(*) END AS metric FROM part GROUP BY 1) SELECT *, CAST(row_number() OVER (ORDER BY metric DESC NULLS LAST, ordinal) AS INTEGER) AS place FROM c")
+@register("f2_rank_candidates", "WITH c AS (SELECT p_partkey AS candidate_id, p_partkey AS ordinal, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_retailprice END AS metric FROM part) SELECT *, CAST(row_number() OVER (ORDER BY metric DESC NULLS LAST, ordinal) AS INTEGER) AS place FROM c")
 def f2(spark, sf):
-    from pyspark.sql import Window
-
-    counts = fx.table(spark, sf, "part").groupBy(F.col("p_brand").alias("candidate_id")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.select("candidate_id", F.row_number().over(Window.orderBy("candidate_id")).cast("long").alias("ordinal"), F.when(F.col("n") % 3 != 0, F.col("n")).alias("metric"))
+    rows = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("candidate_id"), F.col("p_partkey").alias("ordinal"), F.when(F.col("p_size") % 3 != 0, F.col("p_retailprice")).alias("metric"))
     return experiments.rank_candidates(rows)
 
 
@@ -724,19 +805,21 @@ def g4(spark, sf):
 
 @register(
     "h_text_rules",
-    """SELECT page_id, length(trim(url)) > 0 AS filled, regexp_matches(url, '^[A-Za-z0-9][A-Za-z0-9._-]*$') AS candidate, regexp_matches(sha256(url), '^[0-9a-fA-F]{64}$') AS digest,
-  regexp_matches(substr(sha256(url), 1, 40), '^[0-9a-f]{40}$') AS "commit", false AS uuid, sha256(url) AS sha256 FROM pages""",
+    """SELECT page_id, length(trim(url)) > 0 AS filled, page_id % 8 IN (0, 5, 6) AS candidate, page_id % 3 <> 1 AS digest, page_id % 4 <> 2 AS "commit", page_id % 2 = 0 AS uuid, sha256(url) AS sha256 FROM pages""",
 )
 def h_text(spark, sf):
-    """H1 to H4 and H16."""
-    url, digest = F.col("url"), F.sha2(F.col("url").cast("binary"), 256)
+    """H1 to H4 and H16, on texts made of each page's id and address, some of which break each rule."""
+    url, at = F.col("url"), F.col("page_id")
+    digest, number = F.sha2(url.cast("binary"), 256), at.cast("string")
+    named = F.element_at(F.array(number, F.concat(number, F.lit("-")), F.concat(number, F.lit("_")), F.concat(number, F.lit(".")), F.concat(F.lit("."), number), F.concat(F.lit("a-"), number), F.concat(number, F.lit("._b")), F.concat(F.lit("a/"), number)), (at % 8 + 1).cast("int"))
+    parted = F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.substring(digest, 13, 4), F.substring(digest, 17, 4), F.substring(digest, 21, 12))
     return fx.table(spark, sf, "pages").select(
         "page_id",
         scalars.non_empty(url).alias("filled"),
-        scalars.matches(url, scalars.CANDIDATE).alias("candidate"),
-        scalars.matches(digest, scalars.DIGEST).alias("digest"),
-        scalars.matches(F.substring(digest, 1, 40), scalars.COMMIT).alias("commit"),
-        scalars.matches(url, scalars.UUID).alias("uuid"),
+        scalars.matches(named, scalars.CANDIDATE).alias("candidate"),
+        scalars.matches(F.when(at % 3 == 1, F.concat(F.lit("x"), F.substring(digest, 2, 63))).otherwise(F.upper(digest)), scalars.DIGEST).alias("digest"),
+        scalars.matches(F.substring(digest, 1, F.when(at % 4 == 2, 39).otherwise(40)), scalars.COMMIT).alias("commit"),
+        scalars.matches(F.when(at % 2 == 0, parted).otherwise(F.concat(parted, F.lit("0"))), scalars.UUID).alias("uuid"),
         digest.alias("sha256"),
     )
 
@@ -746,18 +829,26 @@ def h5(spark, sf):
     return fx.table(spark, sf, "pages").select("page_id", scalars.is_https_url(F.col("url")).alias("good"))
 
 
-@register("h6_file_url", "SELECT p_partkey, 'https://example.org/' || replace(p_name, ' ', '%20') AS url FROM part")
+@register("h6_file_url", "SELECT p_partkey, 'https://example.org/' || url_encode(p_name || '/' || p_brand || '#?é&+%=') AS url FROM part")
 def h6(spark, sf):
-    return fx.table(spark, sf, "part").select("p_partkey", scalars.file_url(F.lit("https://example.org/"), F.col("p_name")).alias("url"))
+    return fx.table(spark, sf, "part").select("p_partkey", scalars.file_url(F.lit("https://example.org/"), F.concat("p_name", F.lit("/"), "p_brand", F.lit("#?é&+%="))).alias("url"))
+
 
+_PATHS = [("see /home/user/x ", 1), ("=/Users/me/a (/home/b) ", 2), ("x/home/user ", 0), (r"C:\data\x ", 1), (r"ab:\c ", 0), (r"'d:\e' ", 1), ("/homes/user /Users/ ", 0)]
 
-@register("h7_local_paths", "SELECT doc_id, CAST(doc_id % 2 AS INTEGER) AS n FROM documents")
+
+@register(
+    "h7_local_paths",
+    rf"""SELECT doc_id, CAST(list_extract([{', '.join(str(n) for _, n in _PATHS)}], doc_id % {len(_PATHS)} + 1) AS INTEGER) + CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r"''(=]'),
+  lambda x: regexp_matches(x, '^/Users/[^)]') OR regexp_matches(x, '^/home/[^)]') OR regexp_matches(x, '^[A-Za-z]:\\[^)]'))) AS INTEGER) AS n FROM documents""",
+)
 def h7(spark, sf):
-    text = F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit("/home/user/"), F.col("lang"), F.lit(" "))).otherwise("")
-    return fx.table(spark, sf, "documents").select("doc_id", F.size(scalars.local_paths(text)).alias("n"))
+    """H7 over whole texts, each behind a stretch that has paths, or what only looks like them."""
+    before = F.element_at(F.array(*(F.lit(x) for x, _ in _PATHS)), (F.col("doc_id") % len(_PATHS) + 1).cast("int"))
+    return fx.table(spark, sf, "documents").select("doc_id", F.size(scalars.local_paths(F.concat(before, F.coalesce("text", F.lit(""))))).alias("n"))
 
 
-@register("h7_document_paths", r"""SELECT doc_id, len(regexp_extract_all(text, '(?:/Users/|/home/|[A-Za-z]:\\Users\\)[^ \t\n\x0B\f\r"'']*')) AS n FROM documents""")
+@register("h7_document_paths", r"""SELECT doc_id, len(regexp_extract_all(text, '(?:^|[ \t\n\x0B\f\r"''(=])(?:/Users/[^ \t\n\x0B\f\r"'')]+|/home/[^ \t\n\x0B\f\r"'')]+|[A-Za-z]:\\[^ \t\n\x0B\f\r"'')]+)')) AS n FROM documents""")
 def h7_documents(spark, sf):
     """H7 over whole texts."""
     return fx.table(spark, sf, "documents").select("doc_id", F.size(scalars.local_paths(F.col("text"))).alias("n"))
@@ -786,7 +877,15 @@ def h11(spark, sf):
 
 @register("h12_projection", f"WITH {fx.FEATURES} SELECT ordinal, c AS component, round(v, 6) AS value FROM proj")
 def h12(spark, sf):
-    rows = model.project_sql(fx.features(spark, sf), fx.projection(spark), ["ordinal"])
+    rows = model.project(fx.features(spark, sf), model.sign_matrix(64, 8, 7)).select("ordinal", F.posexplode("projected").alias("component", "value"))
+    return _rounded(rows.withColumn("component", F.col("component").cast("long")), "value")
+
+
+@register("h12_projection_by_joins", f"WITH {fx.FEATURES} SELECT ordinal, c AS component, round(v, 6) AS value FROM proj")
+def h12_joins(spark, sf):
+    """The same by joins, which make a row for each feature and component."""
+    rows = fx.features(spark, sf)
+    rows = model.project_sql(rows, model.sign_projection(rows, 8, 7), ["ordinal"])
     return _rounded(rows.withColumn("component", F.col("component").cast("long")), "value")
 
 
@@ -867,70 +966,124 @@ def i13(spark, sf):
     return quality.quality_status(i5(spark, sf))
 
 
+_SHARES = ["subject_share", "record_share", "shard_share", "window_share", "positive_share", "prevalence", "deviation"]
+
+
 @register(
     "i14_split_diagnostics",
-    f"""WITH {fx.SUMMARY} SELECT "partition", round(subjects / sum(subjects) OVER (), 9) AS subject_share, round(records / sum(records) OVER (), 9) AS record_share, round(windows / sum(windows) OVER (), 9) AS window_share,
-  round(class_1 / sum(class_1) OVER (), 9) AS positive_share, round(CASE WHEN windows = 0 THEN 0 ELSE class_1 / windows END, 9) AS prevalence FROM summary""",
+    f"""WITH {fx.SUMMARY}, d AS (SELECT "partition", subjects, records, records AS shards, windows, class_0, class_1, subjects / sum(subjects) OVER () AS subject_share, records / sum(records) OVER () AS record_share,
+  records / sum(records) OVER () AS shard_share, windows / sum(windows) OVER () AS window_share, class_1 / sum(class_1) OVER () AS positive_share,
+  CASE WHEN windows = 0 THEN 0 ELSE class_1 / windows END AS prevalence, CASE WHEN "partition" = 'train' THEN 0.7::DOUBLE ELSE 0.15::DOUBLE END AS asked FROM summary)
+SELECT * REPLACE ({', '.join(f'round({c}, 9) AS {c}' for c in _SHARES[:-1])}), round(abs(subject_share - asked), 9) AS deviation FROM d""",
 )
 def i14(spark, sf):
-    rows = quality.split_diagnostics(fx.windows(spark, sf), fx.assignment(spark, sf))
-    return _rounded(rows, *rows.columns[1:], digits=9)
+    shards = fx.records(spark, sf).select("record_id", F.concat(F.lit("shard/"), "record_id").alias("path"))
+    return _rounded(quality.split_diagnostics(fx.windows(spark, sf), fx.assignment(spark, sf), shards=shards), *_SHARES, digits=9)
+
+
+_MANIFEST = "run AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'config' ELSE 'evidence' END AS role, 'doc/' || doc_id AS path, n_chars AS size_bytes, sha256(\"text\") AS sha256 FROM documents)"
 
 
-@register("i16_run_manifest")
+@register("i16_run_manifest", f"WITH {_MANIFEST} SELECT '{fx.RUN}' AS run_id, * FROM run")
 def i16(spark, sf):
     return _run_files(spark, sf)
 
 
-@register("i17_record_approval", f"SELECT '{fx.RUN}' AS run_id, 'owner' AS owner FROM documents LIMIT 1")
+@register("i16_manifest_digest", f"WITH {_MANIFEST} SELECT '{fx.RUN}' AS run_id, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS size_bytes, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', role, path, size_bytes, sha256)), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM run")
+def i16_digest(spark, sf):
+    return lineage.manifest_digest(_run_files(spark, sf))
+
+
+def _approvals(spark, sf):
+    """Approvals of a run that has files of both roles, and of one that lacks configuration."""
+    good, other = _run_files(spark, sf), _run_files(spark, sf, OTHER_RUN, "evidence")
+    both = good.unionByName(other)
+    return lineage.record_approval(both, _roles(spark), fx.RUN, "owner").unionByName(lineage.record_approval(both, _roles(spark), OTHER_RUN, "owner"))
+
+
+@register(
+    "i17_record_approval",
+    f"""WITH {_MANIFEST}, runs AS (SELECT '{fx.RUN}' AS run_id, role FROM run UNION ALL SELECT '{OTHER_RUN}', 'evidence' FROM run)
+SELECT run_id, 'owner' AS owner FROM runs GROUP BY run_id HAVING count(DISTINCT role) = 2""",
+)
 def i17(spark, sf):
-    return lineage.record_approval(_run_files(spark, sf), _roles(spark), fx.RUN, "owner")
+    return _approvals(spark, sf)
 
 
 @register("i18_evaluate_held_out", _rounded_sql(f"""{fx.FEATURES}, cells AS (SELECT a AS label, b AS prediction, (SELECT count(*) FROM score WHERE label = a AND prediction = b AND "partition" = 'test') AS n FROM range(10) x(a), range(10) y(b)), {fx.class_metrics_sql("cells")}""", _OVERALL.format(c="cells"), _NINE))
 def i18(spark, sf):
     """Test rows, read through the gate, scored and judged."""
-    approvals = i17(spark, sf)
-    rows = lineage.gated_partition(fx.feature_partitions(spark, sf), approvals, fx.RUN)
-    scored = model.score(rows, fx.model(spark, sf)).select(F.col("target_value").alias("label"), "prediction")
+    features = fx.feature_partitions(spark, sf)
+    rows = lineage.gated_partition(features, i17(spark, sf), fx.RUN)
+    scored = model.score(rows, fx.model(spark, sf, features)).select(F.col("target_value").alias("label"), "prediction")
     return _rounded(metrics.overall_metrics(metrics.confusion_matrix(scored, list(range(10)))), *_NINE, digits=9)
 
 
-@register("i20_reconcile", f"WITH {fx.SPLIT_SQL} SELECT (SELECT count(*) FROM win) AS extracted, (SELECT count(*) FROM win JOIN member USING (record_id)) AS assigned, true AS ok")
+_POLICY = {"policy_id": "held-out", "version": 1, "disclosures": ["seed", "data"], "limitations": ["small"], "prohibited_claims": []}
+
+
+@register(
+    "i18_disclosure",
+    f"""WITH {fx.FEATURES} SELECT '{fx.RUN}' AS run_id, 'owner' AS owner, count(DISTINCT feat.record_id) AS records, count(*) AS windows, 'held-out' AS policy_id, 1 AS policy_version, 'data,seed' AS disclosures, 'small' AS limitations,
+  '' AS prohibited_claims FROM part JOIN feat USING (ordinal) WHERE "partition" = 'test'""",
+)
+def i18_disclosure(spark, sf):
+    """What the held-out evaluation of an approved run discloses; the run without approval discloses nothing."""
+    approvals, features = i17(spark, sf), fx.feature_partitions(spark, sf)
+    rows = None
+    for run in (fx.RUN, OTHER_RUN):
+        one = lineage.disclosure(lineage.gated_partition(features, approvals, run), approvals, run, _POLICY)
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.withColumns({c: F.array_join(c, ",") for c in ("disclosures", "limitations", "prohibited_claims")})
+
+
+@register("i20_reconcile", f"WITH {fx.SPLIT_SQL}, n AS (SELECT (SELECT count(*) FROM win) AS extracted, (SELECT count(*) FROM win JOIN member USING (record_id)) AS whole, (SELECT count(*) FROM win JOIN member USING (record_id) WHERE \"partition\" <> 'test') AS part) SELECT extracted, unnest([whole, part]) AS assigned, unnest([whole, part]) = extracted AS ok FROM n")
 def i20(spark, sf):
-    rows = fx.windows(spark, sf)
-    return lineage.reconcile(rows, rows.join(fx.assignment(spark, sf), "record_id"))
+    """All windows against all of the split, and against a split that lost its test part."""
+    rows, parts = fx.windows(spark, sf), fx.assignment(spark, sf)
+    return lineage.reconcile(rows, rows.join(parts, "record_id")).unionByName(lineage.reconcile(rows, rows.join(parts.where("partition <> 'test'"), "record_id")))
 
 
 # models
 
 
-@register("j1_sign_projection", "SELECT CAST(f AS INTEGER) AS feature, CAST(c AS INTEGER) AS component, CASE WHEN substr(md5('7:' || f || ':' || c), 1, 1) < '8' THEN 1.0 ELSE -1.0 END / sqrt(8::DOUBLE) AS weight FROM range(64) a(f), range(8) b(c) WHERE (SELECT count(*) FROM embeddings) > 0")
+@register("j1_sign_projection", "WITH w AS (SELECT max(len(embedding)) AS width FROM embeddings) SELECT CAST(f AS INTEGER) AS feature, CAST(c AS INTEGER) AS component, CASE WHEN substr(md5('7:' || f || ':' || c), 1, 1) < '8' THEN 1.0 ELSE -1.0 END / sqrt(8::DOUBLE) AS weight FROM w, unnest(range(width)) a(f), range(8) b(c)")
 def j1(spark, sf):
-    width = fx.table(spark, sf, "embeddings").select(F.size("embedding")).first()[0]
-    return model.sign_projection_rows(spark, width, 8, 7)
+    return model.sign_projection(fx.features(spark, sf), 8, 7)
 
 
 @register("j2_fit_nearest_centroid", f"WITH {fx.FEATURES} SELECT class, CAST(c AS INTEGER) AS component, round(m, 6) AS value FROM cent")
 def j2(spark, sf):
-    return _rounded(model.model_rows(spark, fx.model(spark, sf))[1], "value")
+    return _rounded(model.model_rows(spark, fx.model(spark, sf))[1].drop("place"), "value")
+
+
+@register("j2_model_metadata", f"WITH {fx.FEATURES}, t AS (SELECT feat.* FROM part JOIN feat USING (ordinal) WHERE \"partition\" = 'train'), c AS (SELECT target_value, count(*) AS n FROM t GROUP BY 1) SELECT 'train' AS \"partition\", count(DISTINCT record_id) AS records, count(*) AS windows, 64 AS features, 8 AS components, (SELECT string_agg(target_value || '=' || n, ',' ORDER BY target_value) FROM c) AS classes FROM t")
+def j2_metadata(spark, sf):
+    rows = fx.feature_partitions(spark, sf)
+    found = model.model_metadata(fx.model(spark, sf, rows), rows.where("partition = 'train'"))
+    return found.withColumn("classes", F.array_join(F.transform(F.map_entries("classes"), lambda x: F.concat_ws("=", x["key"].cast("string"), x["value"].cast("string"))), ","))
 
 
 @register("j3_score", f"WITH {fx.FEATURES} SELECT ordinal, prediction, round(margin, 6) AS margin FROM score")
 def j3(spark, sf):
     """Nearest class (E6) and margin (E5) in one Arrow pass."""
-    return _rounded(model.score(fx.features(spark, sf), fx.model(spark, sf)).select("ordinal", "prediction", "margin"), "margin")
+    rows = fx.feature_partitions(spark, sf)
+    return _rounded(model.score(rows, fx.model(spark, sf, rows)).select("ordinal", "prediction", "margin"), "margin")
 
 
 @register("j3_score_by_joins", f"WITH {fx.FEATURES} SELECT ordinal, prediction, round(margin, 6) AS margin FROM score")
 def j3_joins(spark, sf):
     weights, centroids = model.model_rows(spark, fx.model(spark, sf))
+    centroids = centroids.drop("place")
     return _rounded(model.score_sql(fx.features(spark, sf), weights, centroids, ["ordinal"]), "margin")
 
 
 @register("j4_evaluate_validation", _rounded_sql(f"""{fx.FEATURES}, cells AS (SELECT a AS label, b AS prediction, (SELECT count(*) FROM score WHERE label = a AND prediction = b AND "partition" = 'validation') AS n FROM range(10) x(a), range(10) y(b)), {fx.class_metrics_sql("cells")}""", _OVERALL.format(c="cells"), _NINE))
 def j4(spark, sf):
-    return _rounded(metrics.overall_metrics(metrics.confusion_matrix(fx.scored(spark, sf), list(range(10)))), *_NINE, digits=9)
+    """Validation rows, once the files are as recorded and the windows as many as the index says."""
+    rows, files = fx.feature_partitions(spark, sf), fx.manifest(spark, sf).withColumnRenamed("record_id", "role")
+    index = fx.features(spark, sf).join(rows.where("partition = 'validation'").select("record_id").distinct(), "record_id").groupBy("record_id").agg(F.count(F.lit(1)).alias("window_count"))
+    return _rounded(model.evaluate(rows, fx.model(spark, sf, rows), index, files, files, list(range(10))), *_NINE, digits=9)
 
 
 @register("j5_forest")

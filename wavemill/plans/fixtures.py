@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from wavemill import schemas
 from wavemill.operators.annotate import map_annotations
-from wavemill.operators.model import CentroidModel, fit_nearest_centroid, matrix_of, score, sign_projection_rows
-from wavemill.operators.split import SplitConfig, grouped_split
-from wavemill.operators.windowing import WindowConfig, chunk_signal, extract_windows
+from wavemill.operators.model import CentroidModel, fit_nearest_centroid, score, sign_matrix
+from wavemill.operators.split import SplitConfig, grouped_split, split_subjects
+from wavemill.operators.windowing import WindowConfig, chunk_signal, extract_windows, records_with_windows
 
 CONFIG = WindowConfig(pre_seconds=2.0, post_seconds=2.0, channel_name="value")
 CHUNK = 64
@@ -67,7 +67,7 @@ def record_subjects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assignment(spark: SparkSession, sf: str) -> DataFrame:
-    return grouped_split(windows(spark, sf).select("record_id"), record_subjects(spark, sf), SPLIT)
+    return grouped_split(records_with_windows(mapped(spark, sf), records(spark, sf), CONFIG), record_subjects(spark, sf), SPLIT)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,22 +77,21 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 def feature_partitions(spark: SparkSession, sf: str) -> DataFrame:
     rows = features(spark, sf)
-    subjects = rows.select("record_id", F.col("record_id").alias("subject_id")).distinct()
-    return rows.join(F.broadcast(grouped_split(rows, subjects, SPLIT).select("record_id", "partition")), "record_id")
+    subjects = rows.select(F.col("record_id").alias("subject_id")).distinct()
+    parts = split_subjects(subjects, SPLIT).withColumnRenamed("subject_id", "record_id")
+    return rows.join(parts, "record_id")
 
 
-def projection(spark: SparkSession) -> DataFrame:
-    return sign_projection_rows(spark, 64, 8, 7)
-
-
-def model(spark: SparkSession, sf: str) -> CentroidModel:
-    matrix = matrix_of(projection(spark), "feature", "component", "weight")
-    return fit_nearest_centroid(feature_partitions(spark, sf).where("partition = 'train'"), matrix)
+def model(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> CentroidModel:
+    """Fitted on the train rows of ``rows``, or of the feature partitions."""
+    rows = feature_partitions(spark, sf) if rows is None else rows
+    return fit_nearest_centroid(rows.where("partition = 'train'"), sign_matrix(64, 8, 7))
 
 
 def scored(spark: SparkSession, sf: str, partition: str = "validation") -> DataFrame:
-    rows = score(feature_partitions(spark, sf).where(F.col("partition") == partition), model(spark, sf))
-    return rows.select("ordinal", F.col("target_value").alias("label"), "prediction", "margin")
+    rows = feature_partitions(spark, sf)
+    found = score(rows.where(F.col("partition") == partition), model(spark, sf, rows))
+    return found.select("ordinal", F.col("target_value").alias("label"), "prediction", "margin")
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

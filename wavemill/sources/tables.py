@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemill import schemas
-from wavemill.functions.scalars import all_finite
+from wavemill.functions.scalars import all_finite, refuse
 
 
 def scan_records(spark: SparkSession, path: str, schema: str, configured: DataFrame | None = None, key: str = "record_id", form: str = "parquet") -> DataFrame:
@@ -24,7 +24,7 @@ def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
-    """path, size_bytes, sha256, modified of files; a file is one row, so each must be below 2 GB."""
+    """path, size_bytes, sha256, modified of files; a file is one row, so each must be below 2 GB. Spark leaves out files without bytes."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
     return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
 
@@ -36,19 +36,34 @@ def file_sizes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def discover_shards(spark: SparkSession, paths: Sequence[str], glob: str = "*.parquet") -> DataFrame:
-    """Files directly in the folders, with how often each was named: path, n."""
+    """Files directly in the folders, sorted: path. A file that the folders name twice fails the job."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", False)
     found = None
     for path in paths:
         one = files.load(path).select("path")
         found = one if found is None else found.unionByName(one)
-    return found.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    found = found.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return found.where(refuse(F.col("n") == 1, F.concat(F.lit("named twice: "), F.col("path")))).select("path").orderBy("path")
 
 
-def scan_window_metadata(windows: DataFrame, version: int = 1) -> DataFrame:
-    """Windows without their samples, which a columnar scan then doesn't read; another schema version is refused."""
+#: Columns that windows must have.
+WINDOW_FIELDS = ("record_id", "ordinal", "center_sample_index", "source_symbol", "target_value")
+
+
+def scan_window_metadata(windows: DataFrame, version: int = 1, required: Sequence[str] = WINDOW_FIELDS) -> DataFrame:
+    """Windows without their samples, which a columnar scan then doesn't read.
+
+    A required column that isn't there is an error when the plan is made; a row of another schema version (a table without
+    schema_version is of the first) fails the job.
+    """
+    absent = [c for c in required if c not in windows.columns]
+    if absent:
+        raise ValueError(f"windows lack {', '.join(absent)}")
     rows = windows.drop("window")
-    return rows if "schema_version" not in rows.columns else rows.where(F.col("schema_version") == version)
+    if "schema_version" not in rows.columns:
+        return rows
+    said = F.coalesce(F.col("schema_version").cast("string"), F.lit("null"))
+    return rows.where(refuse(F.col("schema_version").eqNullSafe(F.lit(version)), F.concat(F.lit("windows of schema version "), said)))
 
 
 def scan_windows(windows: DataFrame, width: int, classes: Sequence[int]) -> DataFrame:
