@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wavemill.llm.common import discard, materialise
 
-LEAF_ROWS = 64
+LEAF_ROWS = 256
 #: Doubles hold whole numbers below this exactly.
 EXACT = 1 << 53
 _NONE = np.iinfo(np.int64).min
@@ -139,7 +139,7 @@ def search_shard(query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray,
     return query_ids[query], ids[places], scores, scored
 
 
-def top_k(queries: DataFrame, rows: DataFrame, k: int = 20, *, shard_rows: int = 8192, block_queries: int = 8192) -> DataFrame:
+def top_k(queries: DataFrame, rows: DataFrame, k: int = 20, *, shard_rows: int = 8192, block_queries: int = 2048) -> DataFrame:
     """Each query's k rows of highest integer inner product: query_id, rank int (from 1), vec_id, score; exact.
 
     ``queries`` has query_id bigint and vector array<bigint>, ``rows`` vec_id bigint and vector array<bigint>; other columns are
