@@ -127,10 +127,10 @@ def _degrees(members: DataFrame, cosine: float) -> DataFrame:
     """
     key = ["component", "label", "dim"]
     most, tile = CHUNK_ROWS, ["dim", "component", "label", "i", "j"]
-    whole = min(1024, most)  # a group of so many rows is one block
+    whole = min(128, most)  # a group of so many rows is one block
     sizes = materialise(members.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > whole), "sizes")
-    block = F.least(F.lit(most), F.greatest(F.lit(whole), F.ceil(F.col("m") / 6)))
-    # fewer than rows / 1,024, so they are broadcast up to a number at which no group is a large part of a task of a shuffle
+    block = F.least(F.lit(most), F.greatest(F.lit(whole), F.ceil(F.col("m") / 10)))
+    # fewer than rows / 128, so they are broadcast up to a number at which no group is a large part of a task of a shuffle
     sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     dealt = members.join(sizes, key, "left").withColumn("blocks", F.coalesce(F.ceil(F.col("m") / block), F.lit(1)).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(31), "hash"), F.col("blocks")).cast("int"))
