@@ -1,5 +1,8 @@
+import random
+
 import pytest
 
+from tests.llm import brute
 from wavemill.llm.langid import document_evidence, fit_trigrams, fuse_evidence, page_evidence
 
 
@@ -29,6 +32,28 @@ def test_without_text_the_other_evidence_decides(spark, model):
     assert found[1000].text_lang is None and found[1000].per_gram is None
 
 
+def test_fusion_recomputed(spark, model):
+    rng, words = random.Random(2), {"de": "der die und einkeit das", "en": "the of and thand erthe", "fr": "les des que dans une"}
+    rows = []
+    for k in range(90):
+        lang = rng.choice(sorted(words))
+        text = " ".join(rng.choice(words[lang].split()) for _ in range(rng.choice([0, 1, 3, 30])))
+        other = lambda x: rng.choice([x, None, rng.choice(["de", "fr", "xx"])])
+        site = rng.choice(["a.com", "b.de", None])
+        rows.append((other(lang), other(lang), site and f"{rng.choice('xyz')}.{site}", site, text))
+    schema = "id bigint, declared string, suffix string, host string, site string, text string, p double, value string"
+    got = sorted(fuse_evidence(spark.createDataFrame([(k, *r, 0.5, "v") for k, r in enumerate(rows)], schema), model).collect())
+    for r, (lang, chance, per_gram) in zip(got, brute.fusion(rows, model), strict=True):
+        assert (r.lang, r.probability) == (lang, pytest.approx(chance, abs=1e-9))
+        assert r.per_gram == (None if per_gram is None else pytest.approx(per_gram, abs=1e-5))
+
+
+def test_ties_and_very_long_texts(spark):
+    twins = fit_trigrams(spark.createDataFrame([(1, "abc abc", "bb"), (2, "abc abc", "aa")], "doc_id bigint, text string, lang string"))
+    rows = spark.createDataFrame([(1, None, None, None, None, "abc"), (2, None, None, None, None, "abc " * 500_000)], "id bigint, declared string, suffix string, host string, site string, text string")
+    assert {(r.lang, r.text_lang) for r in fuse_evidence(rows, twins).collect()} == {("aa", "aa")}
+
+
 def test_page_parts(spark):
     rows = [(1, "https://user@M.Example.co:80/a?b", "<HTML class=x LANG='pt-BR'><script>var a='<p>';</script>ol&aacute; <b>x</b><!-- no --></html>"), (2, None, None), (3, "no address", "plain")]
     got = {r.id: r for r in page_evidence(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}

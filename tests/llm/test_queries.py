@@ -3,7 +3,6 @@ import os
 import duckdb
 import pytest
 
-import corpus_pipeline
 from tests.llm.conftest import SF
 from wavemill.llm.queries import QUERIES, SQL
 
@@ -24,36 +23,3 @@ def test_same_as_sql(spark, views, name):
     assert order == sorted(rows.columns)
     got = sorted(repr(tuple(r[c] for c in order)) for r in found.collect())
     assert got == sorted(repr(tuple(r[rows.columns.index(c)] for c in order)) for r in rows.fetchall())
-
-
-def test_pipeline_stages(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns, counts = docs.columns, [docs.count()]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF)
-        docs.write.parquet(str(tmp_path / name))
-        docs = spark.read.parquet(str(tmp_path / name))
-        assert docs.columns == columns
-        counts.append(docs.count())
-        if name == "ngram_jaccard":
-            assert docs.select("doc_id").distinct().count() == counts[-1]
-    assert counts[0] >= counts[1] >= counts[2] > counts[3] and counts[1] >= 0.98 * counts[0]
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert last.count() == counts[-1]
-
-
-def test_stages_on_odd_rows(spark, tmp_path):
-    rows = [(1, "the of and thand erthe ining", "en", "s", 5), (1, "the of and thand erthe ining", "en", "s", 5), (2, None, None, None, None), (None, "der die und einkeit das", "de", None, 1), (3, "", "fr", "t", 0)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SF)
-        docs.write.parquet(str(tmp_path / name))
-        docs = spark.read.parquet(str(tmp_path / name))
-        if name == "language_id":
-            assert {r.doc_id for r in docs.collect()} == {1, None}
-    empty = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    for name, stage in corpus_pipeline.STAGES:
-        empty = stage(spark, empty, SF)
-        assert empty.collect() == []
-        empty.write.parquet(str(tmp_path / f"none-{name}"))
-        empty = spark.read.schema(empty.schema).parquet(str(tmp_path / f"none-{name}"))

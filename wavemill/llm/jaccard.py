@@ -223,6 +223,10 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
     several, of bounded size), and pairs in it are bounded by size and, in large tiles, by bitmap counts. Pairs that met at
     enough hashes are bounded by their full bitmaps, and what passes is intersected exactly. So no link between different
     parts is lost, and few pairs are made within a large group of near copies.
+
+    A hash that very many documents share is counted by partial sums; where its rows are joined, AQE splits what is skewed,
+    and after that they are dealt into tiles. A very long text is read whole in one task, and its hashes, a quarter of its
+    words at most, travel as rows of their own.
     """
     digests = materialise(_digests(docs, id_col, text_col, words, percent), "digests")
     classes = digests.where("n > 0 and id is not null").groupBy("n", "one", "two").agg(F.min(F.struct("id", "bits", "short", "lead")).alias("r"))
@@ -252,7 +256,9 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
 
     # sizes of a similar pair are in the same band or in neighbouring ones; the base is a little wider than the least ratio
     band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
-    rows = tiles.select("h", "id", "n").join(parts.select(F.col("node").alias("id"), F.col("component").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
+    named = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
+    named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+    rows = tiles.select("h", "id", "n").join(named, "id", "left").withColumn("part", F.coalesce("part", "id"))
     rows = rows.withColumn("own_band", band).withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
     marked = materialise(rows, "rows")
     mixed = marked.groupBy("h", "band").agg(F.count(F.lit(1)).alias("rows"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
@@ -272,8 +278,7 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, percent: int = 80, id
     copies = kinds.join(classes.select(F.col("id").alias("to"), "n", "one", "two"), ["n", "one", "two"]).where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b"))
     edges = first.select("a", "b").unionByName(second).unionByName(copies)
     components = connected_components(edges)
-    for done in (classes, tiles, stars, first, parts, marked, pairs, second):
-        discard(done)
+    discard(classes, tiles, stars, first, parts, marked, pairs, second)
     found = components.select(F.col("node").alias("id"), F.col("component").alias("found"))
     out = kinds.select("id", "n").join(found, "id", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("found", "id").alias("component_id"))

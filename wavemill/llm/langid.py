@@ -59,7 +59,8 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
 
     Every language that labels a text is drawn from by itself, so a rare one is in the model at any size of the table. A
     text without an id is drawn by its own hash; texts that share an id are drawn together.
-    Counts are grouped by language and bucket on the executors; the driver gets one number for each.
+    Counts are grouped by language and bucket on the executors; the driver gets one number for each, half a megabyte for each
+    language.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,10 +124,12 @@ def fuse_evidence(rows: DataFrame, model: TrigramModel, *, grams_at_most: int =
     if it had at most ``grams_at_most`` trigrams, since neighbouring trigrams aren't independent; the chance of the declared
     language and of the address suffix given each language, from counts of all rows by what their texts say; and the
     prior of the host, which shrinks to its site's by ``host_weight`` rows and that to the whole's by ``site_weight``, a row's
-    own text left out. Every count is a grouped aggregate with map-side partial sums, joined back.
+    own text left out. Every count is a grouped aggregate with map-side partial sums, joined back: broadcast by Spark while it is
+    small, else by a shuffle in which AQE splits a host that many rows share, and rows without one are dealt out evenly.
 
-    A null or empty value is no evidence; a row without any gets the overall prior. Ties go to the first language by name.
-    Repeated rows are kept, a null id stays, an empty table gives no rows.
+    A null value is no evidence; a row without any gets the overall prior. Ties go to the first language by name. A very long
+    text is read whole in one task. Repeated rows are kept, a null id stays, an empty table gives no rows, other columns are
+    left out.
     """
     names = model.languages
     scored = text_evidence(rows.select("id", "declared", "suffix", "host", "site", "text"), model)
@@ -142,7 +145,9 @@ def fuse_evidence(rows: DataFrame, model: TrigramModel, *, grams_at_most: int =
     by_lang = F.array(*(F.lit(float(x)) for x in sums))
     out = scored
     for key in ("declared", "suffix", "site", "host"):
-        out = out.join(counts(key), key, "left")
+        # rows without a value are dealt out by themselves and meet nothing
+        value = F.coalesce(F.col(key), F.concat(F.lit("\0"), F.pmod(F.xxhash64("id", "logs"), F.lit(4096)).cast("string")))
+        out = out.withColumn("value", value).join(counts(key).withColumnRenamed(key, "value"), "value", "left").drop("value")
     # a value's chance given a language, smoothed towards its overall frequency
     given = lambda n: F.when(n.isNotNull(), F.zip_with(n, by_lang, lambda a, b: F.log((a + smoothing / len(names)) / (b + smoothing)))).otherwise(F.transform(prior, lambda _: F.lit(0.0)))
     own = lambda n: F.zip_with(F.coalesce(n, F.col("p")), "p", lambda a, b: F.greatest(F.lit(0.0), a - b))
