@@ -46,6 +46,12 @@ def test_clashing_columns_and_null_conversation(spark):
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in read_back(prefix_targets(rows)).collect()] == [(None, 2, 1)]
 
 
+def test_null_turns_come_first_and_long_conversations_are_whole(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "b"), (1, None, "user", "a"), (1, 1, "assistant", "c")], SCHEMA)
+    assert prefix_targets(rows).first().text.startswith("<|im_start|>user\na<|im_end|>\n<|im_start|>user\nb<|im_end|>\n")
+    check(spark, [(9, k, "assistant" if k % 100 == 99 else "user", f"turn {k} " * 20) for k in range(1000)] + [(8, 0, "assistant", "x" * 2_000_000)])
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(alphabet="\\<|01\nim_endé>", max_size=12), min_size=1, max_size=20))
 def test_escaping_is_reversible(spark, texts):

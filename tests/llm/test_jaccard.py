@@ -62,6 +62,13 @@ def test_chain_of_near_copies(spark):
     assert {r[2] for r in got} == {0}
 
 
+def test_very_long_texts(spark):
+    base = [f"v{k}" for k in range(60_000)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:30_000] + ["odd"] + base[30_000:])), (3, " ".join(base[:40_000])), (4, "v0 v1 v2 v3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {tuple(r) for r in jaccard_components(docs, words=4, percent=85).collect()} == brute(rows, 4, 85)
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(1, "a b c d e", 1, "x"), (1, "a b c d e", 2, "y"), (2, None, 3, None), (3, " \n", 4, "z"), (None, "a b c d e", 5, "q"), (4, "A b C d e", 6, "h"), (5, "only three words", 7, "i")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int, h string")

@@ -33,8 +33,8 @@ def prefix_targets(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str
     points, from 0): the trainable stretch of the text. A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n`` with
     control strings in roles and texts escaped reversibly. If turns follow the last reply, or there is no reply, one more
     example holds the whole conversation with nothing trainable (loss_length 0 and loss_start null), so that no turn is
-    lost. Null texts and roles count as empty; turns with equal numbers are ordered by role and text; repeated rows are kept;
-    rows with a null conversation id form one conversation; an empty table gives no rows. Other columns are left out.
+    lost. Null texts and roles count as empty; turns without a number come first, those with equal numbers are ordered by role
+    and text; repeated rows are kept; rows with a null conversation id form one conversation; an empty table gives no rows. Other columns are left out.
 
     One shuffle by conversation. A conversation's turns are held in one row, so one must stay below Spark's 2 GB of a row;
     its examples are made one by one from it.
