@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavemill.llm.common import materialise
+from wavemill.llm.common import discard, materialise
 from wavemill.llm.text import row_groups, utf8
 
 BUCKETS = 1 << 16
@@ -86,6 +86,7 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     last = materialise(ranked.groupBy("lang").agg(F.max("draw").alias("last")), "drawn")
     sample = rows.join(F.broadcast(last), "lang").where("draw <= last").select("lang", "text")
     found = sample.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    discard(last)
     languages = sorted(found["lang"].unique()) or ["und"]
     counts = np.zeros((BUCKETS, len(languages)))
     for k, lang in enumerate(languages):
