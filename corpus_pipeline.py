@@ -34,7 +34,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _without(docs: DataFrame, verdicts: DataFrame, rejected: Column) -> DataFrame:
     """The rows of ``docs`` but those whose verdict (key, ...) is ``rejected``."""
-    gone = materialise(verdicts.where(F.coalesce(rejected, F.lit(False))).select(F.col("key").alias("gone")).distinct(), "rejected")
+    # grouped by key before it is filtered: a filter on a verdict would evaluate all that leads to it once for each mention
+    judged = verdicts.groupBy(F.col("key").alias("gone")).agg(F.min(F.coalesce(rejected, F.lit(False))).alias("bad"))
+    gone = materialise(judged.where("bad").select("gone"), "rejected")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     return _keyed(docs).join(gone, F.col("key") == F.col("gone"), "left_anti").select("doc.*")
