@@ -55,7 +55,8 @@ class TrigramModel:
 
 
 def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = 8000) -> TrigramModel:
-    """Fit on up to ``sample_rows`` labelled texts of each language (the first by a hash of their ids), whole.
+    """Fit on up to ``sample_rows`` labelled texts of each language (the first by a hash of their ids, to within a slice of the
+    hashes), whole.
 
     Every language that labels a text is drawn from by itself, so a rare one is in the model at any size of the table. A
     text without an id is drawn by its own hash; texts that share an id are drawn together.
@@ -77,13 +78,16 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     draw = F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(5), F.col(text_col))).otherwise(F.xxhash64(F.lit(5), F.col(id_col)))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
-    # of a language with more texts, about twice as many as wanted are ranked
-    share = (2.0 * sample_rows + 100) / F.col("n")
-    below = F.when(share < 1, (F.lit(-(2.0**63)) + share * 2.0**64).cast("long")).otherwise(F.lit(2**63 - 1))
-    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", below.alias("below"))
-    ranked = rows.select("lang", "draw").join(F.broadcast(shares), "lang").where("draw <= below")
-    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("place") <= sample_rows)
-    last = materialise(ranked.groupBy("lang").agg(F.max("draw").alias("last")), "drawn")
+    # of a language with more texts, draws up to about twice as many as wanted are counted in 1,024 slices, and as many whole
+    # slices are taken as fit, one at least; no task orders a language's rows
+    share = F.least(F.lit(1.0), (2.0 * sample_rows + 100) / F.col("n"))
+    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", "n", share.alias("share"))
+    drawn = rows.select("lang", "draw").join(F.broadcast(shares), "lang")
+    slice_ = F.floor((F.col("draw") / 2.0**64 + 0.5) / F.col("share") * 1024)
+    counts = drawn.withColumn("slice", slice_).where("slice <= 1024").groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("k"), F.max("draw").alias("top"))
+    upto = F.sum("k").over(Window.partitionBy("lang").orderBy("slice"))
+    counts = counts.withColumns({"upto": upto, "first": F.row_number().over(Window.partitionBy("lang").orderBy("slice")) == 1})
+    last = materialise(counts.where((F.col("upto") <= sample_rows) | F.col("first")).groupBy("lang").agg(F.max("top").alias("last")), "drawn")
     sample = rows.join(F.broadcast(last), "lang").where("draw <= last").select("lang", "text")
     found = sample.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     discard(last)
