@@ -15,6 +15,7 @@ from wavemill.llm.embed_dedup import embedding_components
 from wavemill.llm.jaccard import jaccard_components
 from wavemill.llm.langid import fit_trigrams, fuse_evidence, page_evidence
 from wavemill.llm.mixing import mixing_plan, taken_words
+from wavemill.llm.negatives import hard_negatives
 from wavemill.llm.token_counts import sentencepiece_vocabulary, word_piece_counts
 from wavemill.llm.token_orc import token_offsets, write_token_orc
 from wavemill.llm.topk import top_k
@@ -101,6 +102,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("first_position", "last_position")})
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector near its five positives: anchor_id, positive_id, rank, negative_id, positive_score,
+    negative_score."""
+    rows = _table(spark, sf_dir, "embeddings").where(usable_or_zero("embedding"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("id"), moved.alias("label"), F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector"))
+    return hard_negatives(rows.where("id % 100 = 0"), rows, positives=5, negatives=5, lowest=80, highest=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_top_k": op2_exact_top_k,
@@ -112,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -124,6 +135,18 @@ scored AS (
   FROM rows q JOIN rows r ON r.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op11_hard_negatives": """
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS alike, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.id <> r.id WHERE a.id % 100 = 0),
+positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
     "op7_ngram_jaccard": """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
