@@ -20,6 +20,7 @@ from wavemill.llm.token_counts import sentencepiece_vocabulary, word_piece_count
 from wavemill.llm.token_orc import token_offsets, write_token_orc
 from wavemill.llm.topk import top_k
 from wavemill.llm.toxicity import fit_toxicity, score_toxicity
+from wavemill.llm.url_filter import Rule, judge_urls
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -111,6 +112,25 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows.where("id % 100 = 0"), rows, positives=5, negatives=5, lowest=80, highest=100)
 
 
+URL_RULES = (Rule("allow", "org"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules and, where none fits, by character models: page_id, host, path, rule, verdict, score, threshold."""
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _level(order: int) -> str:
+    """SQL of one order of the URL models, from the order below."""
+    p = "(SELECT count(*) FROM g0)"
+    gram = f"substr(gram, {5 - order}, {order + 1})"
+    smoothed = ", ".join(f"CASE WHEN n_{c} > 0 THEN ({c} + t_{c} * p_{c}) / (n_{c} + t_{c}) ELSE p_{c} END AS q_{c}" for c in "ar")
+    stats = ", ".join(f"sum({c}) OVER w AS n_{c}, count(*) FILTER ({c} > 0) OVER w AS t_{c}" for c in "ar")
+    below = f"CROSS JOIN (SELECT 1.0::DOUBLE / {p} AS p_a, 1.0::DOUBLE / {p} AS p_r)" if order == 0 else f"JOIN (SELECT gram AS shorter, q_a AS p_a, q_r AS p_r FROM m{order - 1}) ON substr(gram, 2) = shorter"
+    return f"""g{order} AS (SELECT {gram} AS gram, sum(a)::DOUBLE AS a, sum(r)::DOUBLE AS r FROM counts GROUP BY 1),
+m{order} AS (SELECT gram, {smoothed} FROM (SELECT *, {stats} FROM g{order} WINDOW w AS (PARTITION BY substr(gram, 1, {order}))) {below})"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_top_k": op2_exact_top_k,
@@ -123,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_url_filter": op12_url_filter,
 }
 
 SQL: dict[str, str] = {
@@ -147,6 +168,29 @@ positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s
 SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
 FROM positive JOIN scored USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 QUALIFY rank <= 5""",
+    "op12_url_filter": f"""
+WITH cut AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    translate(CASE WHEN contains(url, '://') THEN rest ELSE coalesce(url, '') END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM cut),
+ruled AS (
+  SELECT *, row_number() OVER () AS k, substr(md5(text), 1, 1) IN ('0', '1', '2') AS held, CASE
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM parsed),
+labelled AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS fixed FROM ruled),
+each AS (SELECT k, held, fixed, substr(repeat(chr(2), 4) || text || chr(3), i, 5) AS gram FROM labelled, unnest(range(1, length(text) + 2)) u(i)),
+counts AS (SELECT gram, count(*) FILTER (NOT held AND fixed = 'allow') AS a, count(*) FILTER (NOT held AND fixed = 'block') AS r FROM each GROUP BY 1),
+{", ".join(_level(order) for order in range(5))},
+scores AS (SELECT k, round(sum(ln(q_a) - ln(q_r)) / count(*), 9) AS score FROM each JOIN m4 USING (gram) GROUP BY 1),
+scored AS (SELECT * FROM labelled JOIN scores USING (k)),
+steps AS (SELECT floor(score * 64) AS step, count(*) FILTER (fixed = 'allow') AS a, count(*) FILTER (fixed = 'block') AS r FROM scored WHERE held AND fixed IS NOT NULL GROUP BY 1),
+tried AS (SELECT * FROM steps UNION ALL SELECT max(step) + 1, 0, 0 FROM steps HAVING count(*) > 0),
+gains AS (SELECT step, round((sum(r) OVER w - r) / sum(r) OVER () - (sum(a) OVER w - a) / sum(a) OVER (), 12) AS gain FROM tried WINDOW w AS (ORDER BY step)),
+best AS (SELECT coalesce((SELECT step / 64 FROM gains WHERE isfinite(gain) ORDER BY gain DESC, abs(step), step LIMIT 1), 0.0::DOUBLE) AS threshold)
+SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN score >= threshold THEN 'allow' ELSE 'block' END) AS verdict, score, threshold FROM scored, best""",
     "op7_ngram_jaccard": """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
