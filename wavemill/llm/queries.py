@@ -16,6 +16,7 @@ from wavemill.llm.jaccard import jaccard_components
 from wavemill.llm.langid import fit_trigrams, fuse_evidence, page_evidence
 from wavemill.llm.mixing import mixing_plan, taken_words
 from wavemill.llm.negatives import hard_negatives
+from wavemill.llm.spelling import spelling_forms, word_counts
 from wavemill.llm.token_counts import sentencepiece_vocabulary, word_piece_counts
 from wavemill.llm.token_orc import token_offsets, write_token_orc
 from wavemill.llm.topk import top_k
@@ -120,6 +121,11 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of seven code points or more with its near words and its form: word, form, root, n, n_near, form_n."""
+    return spelling_forms(word_counts(_table(spark, sf_dir, "documents")), ratio=10)
+
+
 def _level(order: int) -> str:
     """SQL of one order of the URL models, from the order below."""
     p = "(SELECT count(*) FROM g0)"
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_url_filter": op12_url_filter,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
@@ -191,6 +198,24 @@ tried AS (SELECT * FROM steps UNION ALL SELECT max(step) + 1, 0, 0 FROM steps HA
 gains AS (SELECT step, round((sum(r) OVER w - r) / sum(r) OVER () - (sum(a) OVER w - a) / sum(a) OVER (), 12) AS gain FROM tried WINDOW w AS (ORDER BY step)),
 best AS (SELECT coalesce((SELECT step / 64 FROM gains WHERE isfinite(gain) ORDER BY gain DESC, abs(step), step LIMIT 1), 0.0::DOUBLE) AS threshold)
 SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN score >= threshold THEN 'allow' ELSE 'block' END) AS verdict, score, threshold FROM scored, best""",
+    "op13_spelling_variants": """
+WITH RECURSIVE poly AS (  -- the table of the crc32, a byte's remainder after eight halvings
+  SELECT list(x ORDER BY b) AS t FROM (SELECT b, list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) AS x FROM (SELECT unnest(range(256)) AS b))),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all("text", '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+coded AS (SELECT run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs),
+hashed AS (SELECT run, xor(list_reduce(list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) AS crc FROM coded, poly),
+damaged AS (SELECT CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, count(*) AS n FROM damaged WHERE length(word) >= 7 GROUP BY 1 HAVING count(*) >= 2),
+shorter AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS s FROM words, unnest(range(length(word))) u(i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.s = b.s AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.s = w.word UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.s = w.word),
+best AS (SELECT near.word, count(*) AS n_near, max(n) AS other_n FROM near JOIN words ON other = words.word GROUP BY 1),
+ties AS (SELECT near.word, min(other) AS other FROM near JOIN words ON other = words.word JOIN best ON best.word = near.word AND n = other_n GROUP BY 1),
+forms AS (SELECT word, CASE WHEN other_n >= 10 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word) LEFT JOIN ties USING (word)),
+chain(word, root) AS (SELECT word, word FROM forms UNION SELECT chain.word, form FROM chain JOIN forms ON root = forms.word WHERE form IS NOT NULL),
+ends AS (SELECT chain.word, root FROM chain JOIN forms ON root = forms.word WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)""",
     "op7_ngram_jaccard": """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
