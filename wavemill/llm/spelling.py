@@ -85,23 +85,22 @@ def gram_prefixes(words: DataFrame) -> DataFrame:
     return rows.select("word", of("prefix", "place").alias("places"), _pivots(of("first", "place"), of("first", "times")).alias("pivots"))
 
 
-def _keys(word: Column, place: Column, own: Column, other: Column, pivot: bool) -> Column:
-    """Keys at which a word of ``own`` code points with a whole bigram at ``place`` meets one of ``other`` that is an edit away.
+def _keys(word: Column, place: Column, own: Column, indexed: Column) -> Column:
+    """Keys at which a word of ``own`` code points with a whole bigram at ``place`` meets one that is an edit away, the one in the
+    index having ``indexed`` code points.
 
     The edit lies after the bigram or before it. On the other side of it the words are equal, so that the bigram has the
     same distance from that end: this is how places limit what meets. Of the side with the edit, either the first half is
-    equal too or the second, counted by the shorter word.
+    equal too or the second, both counted by the word in the index.
     """
-    lengths = (own, other) if pivot else (other, own)
-    shorter = F.least(own, other)
-    after, before = shorter - place - 2, shorter - own + place  # code points of the edited side, in the shorter word
-    half, tail_half = F.floor(after / 2).cast("int"), F.floor(before / 2).cast("int")
+    after, before = indexed - place - 2, indexed - own + place  # code points of the edited side there
+    half, front = F.floor(after / 2).cast("int"), F.floor(before / 2).cast("int")
     head, tail = F.substring(word, F.lit(1), place + 2), F.substr(word, place + 1)
     none = F.expr("cast(array() as array<bigint>)")
-    one = lambda side, at, *content: F.xxhash64(F.lit(side), *lengths, at, *content)
+    one = lambda side, at, *content: F.xxhash64(F.lit(side), indexed, at, *content)
     return F.concat(
         F.when(after >= 0, F.array(one(0, place, head, F.substring(word, place + 3, half)), one(1, place, head, F.substr(word, own - (after - half) + 1)))).otherwise(none),
-        F.when(before >= 0, F.array(one(2, own - place, tail, F.substring(word, F.lit(1), tail_half)), one(3, own - place, tail, F.substring(word, place - (before - tail_half) + 1, before - tail_half)))).otherwise(none),
+        F.when(before >= 0, F.array(one(2, own - place, tail, F.substring(word, F.lit(1), front)), one(3, own - place, tail, F.substring(word, place - (before - front) + 1, before - front)))).otherwise(none),
     )
 
 
@@ -114,12 +113,11 @@ def near_words(words: DataFrame) -> DataFrame:
     equal besides, and what meets is verified. No key has more words than differ in one half of one side.
     """
     prefixes = materialise(gram_prefixes(words), "prefixes").withColumn("own", F.length("word"))
-    either = F.explode(F.array(*(F.col("own") + d for d in (-1, 0, 1))))
-    index = prefixes.select("word", "own", F.explode("places").alias("place"), "pivots").select("*", either.alias("length"))
-    keyed = lambda rows, pivot: rows.withColumn("key", F.explode(_keys(F.col("word"), F.col("place"), F.col("own"), F.col("length"), pivot)))
-    index = keyed(index, False).select(F.col("word").alias("other"), "key")
-    probes = prefixes.select("word", "own", F.explode("pivots").alias("place")).select("*", either.alias("length"))
-    probes = keyed(probes, True).select("word", "key")
+    keyed = lambda length: F.explode(_keys(F.col("word"), F.col("place"), F.col("own"), length)).alias("key")
+    index = prefixes.select("word", "own", F.explode("places").alias("place"))
+    index = index.select(F.col("word").alias("other"), keyed(F.col("own")))
+    probes = prefixes.select("word", "own", F.explode("pivots").alias("place")).select("*", F.explode(F.array(*(F.col("own") + d for d in (-1, 0, 1)))).alias("length"))
+    probes = probes.select("word", keyed(F.col("length")))
     met = probes.join(index, "key").where(F.col("word") != F.col("other")).select("word", "other")
     met = met.where(F.levenshtein("word", "other", 1) == 1)
     return met.unionByName(met.select(F.col("other").alias("word"), F.col("word").alias("other"))).distinct()
