@@ -72,7 +72,7 @@ def mixed(rows, seed=17, limit=3):
     out = [0] * len(rows)
     for s in names:
         before = 0
-        order = sorted((k for k in range(len(rows)) if rows[k][1] == s), key=lambda k: (hashlib.md5(f"{seed}:{'' if rows[k][0] is None else rows[k][0]}".encode()).hexdigest(), rows[k][0] or 0, sizes[k]))
+        order = sorted((k for k in range(len(rows)) if rows[k][1] == s), key=lambda k: (hashlib.md5(f"{seed}:{'' if rows[k][0] is None else rows[k][0]}:{hashlib.md5((rows[k][2] or '').encode()).hexdigest()}".encode()).hexdigest(), rows[k][0] or 0, sizes[k]))
         for k in order:
             middle = before + sizes[k] / 2
             out[k] = sum(middle + c * whole[s] <= target[s] for c in range(limit)) if sizes[k] else 0

@@ -1,8 +1,10 @@
+from collections import Counter
 from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm import brute
 from wavemill.llm.mixing import CURVES, demand_inverse, mix_documents, mixing_plan, source_targets, taken_words, training_order
 
 SCHEMA = "doc_id bigint, text string, source string, size string"
@@ -77,5 +79,24 @@ def test_nulls_repeats_and_clashing_columns(spark):
     taken = taken_words(mixing_plan(docs)).collect()
     assert len(taken) == 6 and all(r.taken == 0 and r.first_start is None for r in taken if r["size"] == 0)
     mixed = mix_documents(docs)
-    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert mixed.columns == docs.columns and sorted(map(repr, mixed.collect())) == sorted(repr(r) for r, n in zip(docs.collect(), brute.mixed([(r[0], r[2], r[1]) for r in rows])[0], strict=True) for _ in range(n))
     assert mixing_plan(docs.limit(0)).collect() == [] and mix_documents(docs.limit(0)).collect() == []
+
+
+def test_rows_that_share_an_id_or_have_none_meet_the_targets(spark):
+    rows = [(None if k % 2 else k % 7, f"w{k} " * (k % 5 + 1), "abc"[k % 3], "q") for k in range(1500)]
+    rows += rows[:200]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    mixed = mix_documents(docs).collect()
+    taken, targets = brute.mixed([(r[0], r[2], r[1]) for r in rows])
+    want = Counter()
+    for r, n in zip(rows, taken, strict=True):
+        want[r] += n
+    assert Counter(map(tuple, mixed)) == +want
+    for source, (_, target) in targets.items():
+        assert abs(sum(len(r["text"].split()) for r in mixed if r["source"] == source) - target) <= 5
+
+
+def test_weights_have_curves(spark):
+    with pytest.raises(ValueError, match="curve"):
+        source_targets(spark.createDataFrame([("a", 1)], "source string, source_size bigint"), weights=(1, 5))

@@ -30,8 +30,11 @@ def source_targets(sizes: DataFrame, *, weights: Sequence[int] = (1, 2, 3), limi
     and share the sum of all sizes by them; a target stops at ``limit`` times its source's size, and the excess is shared
     again by weight among the rest until none is above. That end is found directly: with sources ordered by the level
     (limit x size / weight) at which they stop, it is the first level at which those that have not stopped take exactly what
-    is left. One row per source is ordered, nothing else.
+    is left. A weight without a curve is refused. One row per source is ordered in one task, and nothing else: sources are
+    names, of which a task holds millions, and not hosts or documents.
     """
+    if not set(weights) <= set(CURVES):
+        raise ValueError(f"weights without a curve: {sorted(set(weights) - set(CURVES))}")
     order = F.col("source").asc_nulls_last()
     rank = F.row_number().over(Window.orderBy(order)) - 1
     weight = F.element_at(F.array(*(F.lit(int(w)) for w in weights)), (rank % len(weights) + 1).cast("int"))
@@ -71,11 +74,11 @@ def demand_inverse(share: Column, knots: Sequence[tuple[float, float]]) -> Colum
     return out
 
 
-def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, limit: float = 3.0) -> DataFrame:
+def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", key_col: str | None = None, seed: int = 17, limit: float = 3.0) -> DataFrame:
     """How often and where in training each document is taken: one row per input row.
 
     id_col, source_col, size bigint, source_size bigint, target double, middle double, positions array<double> (progress from
-    0 to 1, one for each copy that is taken, ascending). A size is the number of runs of anything but ASCII white space (null:
+    0 to 1, one for each copy that is taken, ascending), and key_col, if it is given, a column that goes along. A size is the number of runs of anything but ASCII white space (null:
     0). Each source's documents are laid end to end in a seeded order, again and again up to ``limit`` times. The weights of
     ``CURVES`` integrate to a source's cumulative demand, which ends at its target; a copy gets the progress at which the
     demand reaches its middle, by the inverse of that integral, and is taken if the demand reaches it at all. So what is taken
@@ -87,9 +90,11 @@ def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     shuffled, and the texts are read once.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    rows = materialise(rows.withColumn("draw", draw).withColumn("slice", F.substring("draw", 1, SLICE_DIGITS)), "sizes")
+    text = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text))
+    keys = [F.col(key_col).alias("key")] if key_col else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), draw.alias("draw"), *keys)
+    rows = materialise(rows.withColumn("slice", F.substring("draw", 1, SLICE_DIGITS)), "sizes")
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     ahead = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("ahead", F.coalesce(F.sum("slice_size").over(ahead), F.lit(0)))
@@ -110,7 +115,8 @@ def mixing_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     turns = F.array(*(F.lit(k) for k in range(int(limit))))
     positions = F.when(F.col("size") > 0, F.filter(F.transform(turns, position), lambda x: x.isNotNull())).otherwise(F.expr("cast(array() as array<double>)"))
-    return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "middle", positions.alias("positions"))
+    keys = [F.col("key").alias(key_col)] if key_col else []
+    return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "middle", positions.alias("positions"), *keys)
 
 
 def training_order(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -155,11 +161,14 @@ def taken_words(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents themselves, each as often as the mix takes it, in training order and with their own columns only.
 
-    Rows that share an id share a plan: each is taken as often as the one of them that is taken most, the first in the seeded
-    order. Names of columns can't clash.
+    Rows are told apart by a hash of all their columns, so rows that share an id, or have none, each follow their own plan;
+    rows that are equal in all columns are one here, taken as often as they are together. So the words of a source come within
+    half a document of its target, whatever the ids. Names of columns can't clash.
     """
-    plan = mixing_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col)
-    plan = plan.groupBy(F.col(id_col).alias("id")).agg(F.max_by("positions", F.size("positions")).alias("positions"))
-    rows = docs.select(F.col(id_col).alias("key"), F.struct("*").alias("doc")).join(plan, F.col("key").eqNullSafe(F.col("id")))
-    rows = rows.select("key", "doc", F.explode("positions").alias("position"))
-    return rows.repartitionByRange("position", "key").sortWithinPartitions("position", "key").select("doc.*")
+    rows = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.lit(23), *docs.columns).alias("key"), F.xxhash64(F.lit(41), *docs.columns).alias("more"))
+    rows = rows.select("doc", F.struct("key", "more").alias("key"), *(F.col(f"doc.`{c}`").alias(name) for c, name in ((id_col, "id"), (text_col, "text"), (source_col, "source"))))
+    plan = mixing_plan(rows, id_col="id", text_col="text", source_col="source", key_col="key")
+    taken = plan.select(F.col("key").alias("planned"), F.explode("positions").alias("position"))
+    one = rows.groupBy("key").agg(F.first("doc").alias("doc"))
+    mixed = one.join(taken, F.col("key") == F.col("planned")).select("key", "doc", "position")
+    return mixed.repartitionByRange("position", "key").sortWithinPartitions("position", "key").select("doc.*")

@@ -234,7 +234,7 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low.
 FROM sets LEFT JOIN low ON low.x = doc_id""",
     "op10_mixing": """
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS draw FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sources),
 stopping AS (SELECT *, 3.0::DOUBLE * source_size / weight AS stops FROM weighed),
