@@ -5,12 +5,16 @@ Predictions have label and prediction; a confusion table has label, prediction a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavemill.functions.scalars import ratio
+from wavemill.sources.scratch import written
 
 
 def confusion_matrix(predictions: DataFrame, classes: Sequence[int]) -> DataFrame:
@@ -105,16 +109,56 @@ def null_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns))
 
 
+def exact_quantiles(rows: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles of each numeric column: column, share, value, between neighbours in proportion; nulls are left out.
+
+    Equal values are counted where they lie, so each is one row. The values of all columns are range-partitioned and sorted, each
+    partition sums its own counts, and one row for each tells how many are ahead of it; so every value knows its ranks, and
+    those that hold a wanted rank are kept. No task holds more than its range. NaN is the largest value. A column without
+    values has no rows.
+    """
+    each = F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns)))
+    counts = rows.select(each).where("x is not null").groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            names, sizes = batch.column(0).to_pylist(), np.asarray(batch.column(2))
+            ends = np.zeros(len(sizes), np.int64)
+            for name in dict.fromkeys(names):
+                own = np.array([x == name for x in names])
+                ends[own] = held.get(name, 0) + np.cumsum(sizes[own])
+                held[name] = int(ends[own][-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(sizes), part, np.int32)), pa.array(ends)], ["column", "x", "n", "part", "end"])
+
+    # written down, so that the sums of the partitions fit the order that is read
+    order = ["column", "x"]
+    ranked = written(counts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(summed, "column string, x double, n bigint, part int, end bigint"), "ranks")
+    ahead = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranked.groupBy("column", "part").agg(F.sum("n").alias("own")).withColumn("ahead", F.coalesce(F.sum("own").over(ahead), F.lit(0)))
+    parts = parts.withColumn("total", F.sum("own").over(Window.partitionBy("column")))
+    placed = ranked.join(parts, ["column", "part"]).withColumn("end", F.col("ahead") + F.col("end"))
+    wanted = F.explode(F.array(*(F.struct(F.lit(float(p)).alias("share"), (F.lit(float(p)) * (F.col("total") - 1)).alias("rank")) for p in shares))).alias("want")
+    met = placed.select("column", "x", "end", (F.col("end") - F.col("n")).alias("start"), wanted).select("column", "x", "start", "end", "want.*")
+    holds = lambda rank: (F.col("start") <= rank) & (rank < F.col("end"))
+    low, high = F.floor("rank"), F.ceil("rank")
+    met = met.where(holds(low) | holds(high)).groupBy("column", "share", "rank").agg(F.max(F.when(holds(low), F.col("x"))).alias("low"), F.max(F.when(holds(high), F.col("x"))).alias("high"))
+    between = F.when(low == high, F.col("low")).otherwise((high - F.col("rank")) * F.col("low") + (F.col("rank") - low) * F.col("high"))
+    return met.select("column", "share", between.alias("value"))
+
+
 def column_summary(rows: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """A row for each numeric column: column, n, mean, stddev, lowest, p25, p50, p75, highest.
 
-    Percentiles are exact, between neighbours in proportion, which holds a count of each different value; with ``accuracy``
-    they are approximate in bounded memory, for columns of very many values.
+    Percentiles are exact, by :func:`exact_quantiles`; with ``accuracy`` they are approximate in one pass.
     """
-    stats: list[Column] = []
+    shares, stats = {0.25: "p25", 0.5: "p50", 0.75: "p75"}, []
     for c in columns:
         x = F.col(c).cast("double")
-        at = lambda p: F.percentile(x, p) if accuracy is None else F.percentile_approx(x, p, accuracy)  # noqa: B023, E731
-        quarters = [at(p).alias(f"p{int(100 * p)}") for p in (0.25, 0.5, 0.75)]
+        quarters = [] if accuracy is None else [F.percentile_approx(x, p, accuracy).alias(name) for p, name in shares.items()]
         stats.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"), F.min(x).alias("lowest"), *quarters, F.max(x).alias("highest")))
-    return rows.agg(F.array(*stats).alias("rows")).select(F.inline("rows"))
+    found = rows.agg(F.array(*stats).alias("rows")).select(F.inline("rows"))
+    if accuracy is None:
+        exact = exact_quantiles(rows, columns, list(shares)).groupBy("column").agg(*(F.max(F.when(F.col("share") == p, F.col("value"))).alias(name) for p, name in shares.items()))
+        found = found.join(exact, "column", "left")
+    return found.select("column", "n", "mean", "stddev", "lowest", *shares.values(), "highest")

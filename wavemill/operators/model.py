@@ -9,6 +9,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -75,10 +77,15 @@ def project_sql(rows: DataFrame, projection: DataFrame, key: Sequence[str], vect
     return long.join(F.broadcast(projection), "feature").groupBy(*key, "component").agg(F.sum(F.col("x").cast("double") * F.col("weight")).alias("value"))
 
 
+def class_mean_vectors(projected: DataFrame, label: str = "target_value") -> DataFrame:
+    """Mean projected vector of each class: label, mean array<double>. Sums of whole vectors are merged, first where rows lie."""
+    rows = projected.where(F.col("projected").isNotNull()).select(label, array_to_vector("projected").alias("v"))
+    return rows.groupBy(label).agg(Summarizer.mean(F.col("v")).alias("mean")).select(label, vector_to_array("mean").alias("mean"))
+
+
 def class_means(projected: DataFrame, label: str = "target_value") -> DataFrame:
-    """Mean projected vector of each class: label, component, value."""
-    long = projected.where(F.col("projected").isNotNull()).select(label, F.posexplode("projected").alias("component", "x"))
-    return long.groupBy(label, "component").agg(F.avg("x").alias("value"))
+    """The same by component: label, component, value. Only the means of the classes become rows."""
+    return class_mean_vectors(projected, label).select(label, F.posexplode("mean").alias("component", "value"))
 
 
 def fit_nearest_centroid(train: DataFrame, projection: np.ndarray, vector: str = "window", label: str = "target_value") -> CentroidModel:
@@ -183,8 +190,6 @@ def evaluate(rows: DataFrame, model: CentroidModel, index: DataFrame, recorded:
 
 
 def _vectors(rows: DataFrame, vector: str) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
     return rows.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
 
 

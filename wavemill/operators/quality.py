@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavemill.functions.scalars import all_finite, is_close, non_empty, ratio, refuse
+from wavemill.operators.ordered import with_previous
 from wavemill.operators.split import PARTITIONS, leakage, partition_summary
 
 
@@ -33,8 +34,8 @@ def validate_records(records: DataFrame, chunks: DataFrame, annotations: DataFra
     """
     filled = lambda a: F.forall(a, lambda x: F.coalesce(F.length(F.trim(x)) > 0, F.lit(False)))
     finite = chunks.groupBy("record_id").agg(F.bool_and(all_finite(F.col("samples"))).alias("finite"))
-    before = F.lag("sample_index").over(Window.partitionBy("record_id").orderBy("ordinal"))
-    marks = annotations.withColumn("fell", F.coalesce(F.col("sample_index") < before, F.lit(False)))
+    marks = with_previous(annotations.select("record_id", "ordinal", "sample_index", "symbol"), "record_id", "ordinal", {"before": "sample_index"})
+    marks = marks.withColumn("fell", F.coalesce(F.col("sample_index") < F.col("before"), F.lit(False)))
     marks = marks.groupBy("record_id").agg(
         F.bool_and(F.col("sample_index").isNotNull() & F.coalesce(F.length("symbol") > 0, F.lit(False))).alias("annotated"),
         F.min("sample_index").alias("first"),
@@ -72,12 +73,13 @@ def record_report(records: DataFrame, annotations: DataFrame, rules: DataFrame)
 
 def validate_windows(windows: DataFrame) -> DataFrame:
     """By record: rows, and whether widths are equal, samples finite, centres not negative, centres in order, and the id not blank."""
-    before = F.lag("center_sample_index").over(Window.partitionBy("record_id").orderBy("ordinal"))
-    rows = windows.withColumn("fell", F.coalesce(F.col("center_sample_index") < before, F.lit(False)))
+    facts = windows.select("record_id", "ordinal", "center_sample_index", F.size("window").alias("width"), all_finite(F.col("window")).alias("fine"))
+    rows = with_previous(facts, "record_id", "ordinal", {"before": "center_sample_index"})
+    rows = rows.withColumn("fell", F.coalesce(F.col("center_sample_index") < F.col("before"), F.lit(False)))
     return rows.groupBy("record_id").agg(
         F.count(F.lit(1)).alias("windows"),
-        (F.min(F.size("window")) == F.max(F.size("window"))).alias("equal_width"),
-        F.bool_and(all_finite(F.col("window"))).alias("finite"),
+        (F.min("width") == F.max("width")).alias("equal_width"),
+        F.bool_and("fine").alias("finite"),
         F.bool_and(F.col("center_sample_index") >= 0).alias("centres_valid"),
         (~F.bool_or("fell")).alias("centres_ordered"),
         F.bool_and(non_empty(F.col("record_id").cast("string"))).alias("ids_filled"),

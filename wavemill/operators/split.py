@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavemill.functions.scalars import refuse
+from wavemill.operators.ordered import with_previous
 
 PARTITIONS = ("train", "validation", "test")
 
@@ -153,10 +154,10 @@ def leakage(rows: DataFrame, key: str, partition: str = "partition") -> DataFram
 
 def overlap_leakage(windows: DataFrame, split: str = "split") -> DataFrame:
     """By record: neighbouring windows that overlap, and those of them that a row split put in different parts."""
-    order = Window.partitionBy("record_id").orderBy("ordinal")
-    rows = windows.withColumns({"before": F.lag("right").over(order), "other": F.lag(split).over(order)})
+    rows = windows.select("record_id", "ordinal", "left", "right", F.col(split).alias("own"))
+    rows = with_previous(rows, "record_id", "ordinal", {"before": "right", "other": "own"})
     overlap = F.coalesce(F.col("left") < F.col("before"), F.lit(False))
-    return rows.groupBy("record_id").agg(F.count_if(overlap).alias("overlaps"), F.count_if(overlap & (F.col("other") != F.col(split))).alias("leaks"))
+    return rows.groupBy("record_id").agg(F.count_if(overlap).alias("overlaps"), F.count_if(overlap & (F.col("other") != F.col("own"))).alias("leaks"))
 
 
 def balanced_weights(rows: DataFrame, label: str = "target_value") -> DataFrame:

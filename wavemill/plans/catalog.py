@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from wavemill.functions import scalars
 from wavemill.operators import annotate, drift, experiments, lineage, metrics, model, quality, split, windowing
+from wavemill.operators.ordered import with_previous
 from wavemill.plans import fixtures as fx
-from wavemill.sources import tables
+from wavemill.sources import ingest, tables, window_table
+from wavemill.sources.scratch import shared_path
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -104,6 +106,27 @@ def a8(spark, sf):
     return lineage.resume_plan(fx.manifest(spark, sf), fx.inventory(spark, sf))
 
 
+@register(
+    "a8_resumed_ingest",
+    """WITH files AS (SELECT 'r' || doc_id // 5 AS record_id, 'doc/' || doc_id AS path, n_chars, "text", l.doc_id IS NOT NULL AND toxic = 0 AS good FROM documents LEFT JOIN labels l USING (doc_id)),
+first AS (SELECT record_id, bool_and(good) AS whole FROM files GROUP BY 1)
+SELECT record_id, path, octet_length(encode("text")) AS size_bytes, sha256("text") AS sha256, CASE WHEN whole THEN 1 ELSE 2 END AS run, CASE WHEN whole THEN 'reuse' ELSE 'fetch' END AS action
+FROM files JOIN first USING (record_id)""",
+)
+def a8_ingest(spark, sf):
+    """What is there after two runs: in the first the files of documents without a label are absent and toxic ones are damaged."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    docs = docs.withColumns({"record_id": F.concat(F.lit("r"), F.floor(F.col("doc_id") / 5).cast("string")), "path": F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))})
+    manifest = docs.select("record_id", "path", F.octet_length("content").cast("long").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    damaged = F.when(F.col("toxic") == 1, F.concat("content", F.lit("x").cast("binary"))).otherwise(F.col("content"))
+    early = docs.join(fx.table(spark, sf, "labels"), "doc_id").select("path", damaged.alias("content"))
+    target = shared_path(spark, "ingest")
+    ingest.ingest(manifest, early, target, batches=3)
+    before = ingest.proven_files(spark, target).select("commit").distinct().withColumn("run", F.lit(1))
+    plan = ingest.ingest(manifest, docs.select("path", "content"), target, batches=3).select("path", "action")
+    return ingest.proven_files(spark, target).join(before, "commit", "left").join(plan, "path").select("record_id", "path", "size_bytes", "sha256", F.coalesce("run", F.lit(2)).alias("run"), "action")
+
+
 @register(
     "a8_resume_progress",
     f"""WITH {_PLAN} SELECT record_id, count(*) FILTER (action = 'reuse') AS n_reuse, count(*) FILTER (action = 'fetch') AS n_fetch, count(*) FILTER (action = 'drifted') AS n_drifted,
@@ -192,6 +215,40 @@ def b8(spark, sf):
     return lineage.gated_partition(rows, approvals, fx.RUN).select("record_id", "ordinal", "target_value")
 
 
+_TABLE_COLUMNS = ("record_id", "ordinal", "target_value")
+
+
+def _window_table(spark, sf):
+    """Windows in a new table, in folders by partition and in buckets by record."""
+    name, path = window_table.scratch_table(spark, "windows")
+    window_table.write_window_table(fx.windows(spark, sf), fx.assignment(spark, sf), name, path, buckets=8)
+    return name
+
+
+@register("b6_window_table", f'WITH {fx.SPLIT_SQL} SELECT record_id, sample_index AS ordinal, target_value, w0 + w1 + w2 + w3 AS total FROM win JOIN member USING (record_id) WHERE "partition" = \'validation\'')
+def b6_table(spark, sf):
+    """All windows are written by partition; the validation ones are read back from the files of their folder."""
+    rows = window_table.read_window_partition(spark, _window_table(spark, sf), "validation")
+    at = F.col("window")
+    return rows.select(*_TABLE_COLUMNS, (at[0] + at[1] + at[2] + at[3]).alias("total"))
+
+
+@register("b8_window_table_gated", f'WITH {fx.SPLIT_SQL} SELECT record_id, sample_index AS ordinal, target_value FROM win JOIN member USING (record_id) WHERE "partition" = \'test\'')
+def b8_table(spark, sf):
+    """The protected folder of the table, which takes the run's approval."""
+    approvals = lineage.record_approval(_run_files(spark, sf), _roles(spark), fx.RUN, "owner")
+    return window_table.read_window_partition(spark, _window_table(spark, sf), "test", approvals, fx.RUN).select(*_TABLE_COLUMNS)
+
+
+@register("b6_bucketed_join", f'WITH {fx.SPLIT_SQL} SELECT record_id, "partition", sample_count, count(*) AS windows FROM win JOIN member USING (record_id) JOIN rec USING (record_id) GROUP BY ALL')
+def b6_join(spark, sf):
+    """Windows of each record beside its length: both tables are in buckets by record, so the join and the count move no row."""
+    name, path = window_table.scratch_table(spark, "records")
+    records = window_table.write_bucketed(fx.records(spark, sf).select("record_id", "sample_count"), name, path, buckets=8)
+    rows = spark.table(_window_table(spark, sf)).select("record_id", "partition")
+    return rows.join(records, "record_id").groupBy("record_id", "partition", "sample_count").agg(F.count(F.lit(1)).alias("windows"))
+
+
 OTHER_RUN = "00000000-0000-4000-8000-000000000002"
 
 
@@ -666,10 +723,8 @@ def d27_leaky(spark, sf):
 
 @register("e1_order_check", f"WITH {fx.EV} SELECT record_id, sample_index, coalesce(value < lag(value) OVER (PARTITION BY record_id ORDER BY sample_index), false) AS fell FROM ev")
 def e1(spark, sf):
-    from pyspark.sql import Window
-
-    before = F.lag("value").over(Window.partitionBy("record_id").orderBy("sample_index"))
-    return fx.events(spark, sf).select("record_id", "sample_index", F.coalesce(F.col("value") < before, F.lit(False)).alias("fell"))
+    rows = with_previous(fx.events(spark, sf).select("record_id", "sample_index", "value"), "record_id", "sample_index", {"before": "value"})
+    return rows.select("record_id", "sample_index", F.coalesce(F.col("value") < F.col("before"), F.lit(False)).alias("fell"))
 
 
 @register("e2_overlaps", f"WITH {_OVER} SELECT record_id, sample_index AS ordinal, o AS overlaps FROM over")
