@@ -83,3 +83,36 @@ def test_groups_larger_than_a_chunk(spark, monkeypatch):
         rows += [(len(rows) + k, (base + rng.standard_normal(24) * spread).astype(np.float32).tolist(), label) for k in range(size)]
     got = {tuple(r) for r in embedding_components(spark.createDataFrame(rows, SCHEMA), window=4, passes=6).collect()}
     assert got == brute(rows)
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    rows = [(1, [1.0, 0.0], 1), (2, [0.93, (1 - 0.93**2) ** 0.5], 1), (3, [1e300, 1e300], 2), (4, [1e-300, 1e-300], 2), (5, [-1e300, 1e300], 2)]
+    table = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    got = sorted(tuple(r) for r in embedding_components(table).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)]
+
+
+def test_passes_grow_with_the_largest_label():
+    assert [embed_dedup.passes_needed(10**k, 128, 0.93, 0.999) for k in range(2, 10)] == [1, 6, 12, 20, 33, 52, 81, 125]
+    assert embed_dedup.passes_needed(0, 128, 0.93, 0.999) == 1 and embed_dedup.passes_needed(10**9, 128, 1.0, 0.999) == 1
+
+
+def planted(rows, pairs, seed, cosine=0.931, width=64):
+    """Vectors of random directions, the first ``pairs`` of which have a partner at the cosine: floats and the pairs."""
+    rng = np.random.default_rng(seed)
+    vectors = rng.standard_normal((rows, width))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    for k in range(pairs):
+        away = rng.standard_normal(width)
+        away -= (away @ vectors[k]) * vectors[k]
+        vectors[pairs + k] = cosine * vectors[k] + (1 - cosine**2) ** 0.5 * away / np.linalg.norm(away)
+    return vectors.astype(np.float32)
+
+
+def test_lone_pairs_at_the_threshold_are_found_in_a_large_label(spark, monkeypatch):
+    """A window of 8 in 6,400 rows is to them what 128 is to 100,000."""
+    vectors = planted(6400, 300, 9)
+    monkeypatch.setattr(embed_dedup, "LEAST_PASSES", 1)
+    table = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], SCHEMA)
+    got = {r.vec_id: r.component_id for r in embedding_components(table, window=8).collect()}
+    assert sum(got[300 + k] == k for k in range(300)) >= 297

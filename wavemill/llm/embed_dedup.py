@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from wavemill.llm.common import connected_components, discard, materialise
 
 #: Bits of a sort key.
 BITS = 48
+#: Passes of any table, however small.
+LEAST_PASSES = 24
 #: Rows that one task compares at once; a task's memory is bounded by it.
 CHUNK_ROWS = 16_384
 #: Sizes of this many groups at most are broadcast.
@@ -26,9 +29,13 @@ def usable(vector: Column) -> Column:
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
-    """Matrix of a column of equally long arrays without nulls."""
+    """Matrix of a column of equally long arrays without nulls. Doubles are scaled by a power of two for each row, which changes no
+    cosine and keeps squares finite."""
     values = np.asarray(column.flatten())
-    return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    values = values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    if values.size and values.dtype == np.float64:
+        values = np.ldexp(values, -np.frexp(np.abs(values).max(axis=1))[1][:, None])
+    return values
 
 
 def _with_keys(classes: DataFrame, passes: range, seed: int) -> DataFrame:
@@ -46,8 +53,21 @@ def _with_keys(classes: DataFrame, passes: range, seed: int) -> DataFrame:
                     key = ((vectors @ planes) > 0) @ powers
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), pa.array(key), *some.columns], ["pass", "key", *some.schema.names])
 
-    kind = classes.schema["label"].dataType.simpleString()
-    return classes.select("label", "id", "dim", "vector").mapInArrow(keyed, f"pass int, key bigint, label {kind}, id bigint, dim int, vector array<float>")
+    kind, vector = (classes.schema[c].dataType.simpleString() for c in ("label", "vector"))
+    return classes.select("label", "id", "dim", "vector").mapInArrow(keyed, f"pass int, key bigint, label {kind}, id bigint, dim int, vector {vector}")
+
+
+def passes_needed(rows: int, window: int, cosine: float, recall: float) -> int:
+    """Passes after which a lone pair of that cosine among ``rows`` of its label has met with a probability of ``recall``.
+
+    One random sign agrees for both with probability a = 1 - angle / pi, and halves the others. So the pair is within
+    ``window`` places if it agrees in log2(rows / window) signs, which a pass gives with a to that power: 0.88 for each halving
+    at a cosine of 0.93. With a window of 128 and a recall of 0.999 it takes 20 passes for 10^5 rows, 33 for 10^6, 52 for 10^7, 81 for 10^8
+    and 125 for 10^9.
+    """
+    agree = 1 - math.acos(min(1.0, max(-1.0, cosine))) / math.pi
+    met = agree ** max(0.0, math.log2(max(1, rows) / window))
+    return 1 if met >= recall else math.ceil(math.log(1 - recall) / math.log1p(-met))
 
 
 def _neighbour_links(rows: DataFrame, cosine: float, window: int) -> DataFrame:
@@ -201,7 +221,7 @@ def _degrees(members: DataFrame, cosine: float) -> DataFrame:
     return dealt.mapInArrow(count, "class bigint, n bigint").groupBy("class").agg(F.sum("n").alias("others"))
 
 
-def embedding_components(embeddings: DataFrame, *, cosine: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", passes: int = 24, at_once: int = 6, window: int = 128, seed: int = 29) -> DataFrame:
+def embedding_components(embeddings: DataFrame, *, cosine: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", passes: int | None = None, recall: float = 0.999, at_once: int = 6, window: int = 128, seed: int = 29) -> DataFrame:
     """Link vectors with equal labels and a cosine (in double precision) of ``cosine`` or more, and find what hangs together.
 
     One row per input row: id_col, n_links bigint (other rows linked directly), component_id (the smallest id that links
@@ -210,8 +230,10 @@ def embedding_components(embeddings: DataFrame, *, cosine: float = 0.93, id_col:
     random projections, and each is compared with at least ``window`` neighbours after it in its task, and further as long
     as links are found, within chunks of ``CHUNK_ROWS`` that overlap. The links of all passes only say what hangs together;
     n_links is then counted over all pairs of each component, whatever its size, which takes work that grows with the
-    square of a component. Only verified links count. A component is cut in two if no pass meets any of the links between
-    its parts, with a probability that ``passes`` and ``window`` set (measured recall: see the README).
+    square of a component. Only verified links count. A component is cut in two only if no pass meets any of the links between
+    its parts. The number of passes grows with the largest label, so that even a pair at the very threshold that nothing else
+    links meets with a probability of ``recall`` (see :func:`passes_needed`), and is ``LEAST_PASSES`` at least; ``passes`` overrides it.
+    Pairs that are closer, and groups, meet more often (measured recall: see the README).
 
     Vectors that are null, empty, zero or hold a null or a non-finite component, and rows with a null label or id, link with
     nothing: n_links 0, component_id their own id, kept true. Vectors of different lengths aren't compared. A cosine that
@@ -219,10 +241,15 @@ def embedding_components(embeddings: DataFrame, *, cosine: float = 0.93, id_col:
     gives no rows. Other columns are left out. Passes run ``at_once`` in one shuffle, so
     that disk holds that many copies of the vectors at most.
     """
-    rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<float>").alias("vector"))
+    # floats stay floats, which hold them exactly; whatever else is compared as doubles
+    kind = "array<float>" if embeddings.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(kind).alias("vector"))
     fit = rows.where(usable(F.col("vector")) & F.col("label").isNotNull() & F.col("id").isNotNull()).withColumn("hash", F.xxhash64("vector"))
     classes = fit.groupBy("label", "hash", "vector").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("copies"))
     classes = materialise(classes, "classes")
+    if passes is None:
+        largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        passes = max(LEAST_PASSES, passes_needed(largest, window, cosine, recall))
     source = classes.select("label", F.col("class").alias("id"), F.size("vector").alias("dim"), "vector")
     found = []
     for first in range(0, passes, at_once):
