@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -41,17 +42,24 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Let Arrow batches have ``rows`` rows at most for what is written within, for the memory of workers that hold whole texts."""
-    before = spark.conf.get(_BATCH_ROWS, "10000")
-    if 0 < int(before) <= rows:
-        yield
-        return
-    spark.conf.set(_BATCH_ROWS, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> Iterator[None]:
+    """Let Arrow batches have ``rows`` rows and about ``size`` bytes at most for what is written within, for the memory of workers
+    that hold whole texts or sets; a longer row is a batch by itself."""
+    before = {name: spark.conf.get(name, None) for name in (_BATCH_ROWS, _BATCH_BYTES)}
+    for name, most in ((_BATCH_ROWS, rows), (_BATCH_BYTES, size)):
+        if before[name] is None or not 0 < _bytes(before[name]) <= most:
+            spark.conf.set(name, str(most))
     try:
         yield
     finally:
-        spark.conf.set(_BATCH_ROWS, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _bytes(text: str) -> int:
+    """A number, with a unit of bytes if any."""
+    digits = text.strip().lower().removesuffix("b")
+    return int(digits[:-1]) << 10 * ("kmg".index(digits[-1]) + 1) if digits[-1:] in ("k", "m", "g") else int(digits)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
