@@ -22,15 +22,3 @@ def test_hubs_are_looked_up(spark, monkeypatch):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
-
-
-def test_settings_come_back_after_small_batches(spark):
-    from wavemill.llm.common import _BATCH_BYTES, _BATCH_ROWS, _bytes, small_batches
-
-    before = [spark.conf.get(x, None) for x in (_BATCH_ROWS, _BATCH_BYTES)]
-    with small_batches(spark, 10, 1 << 20):
-        assert [spark.conf.get(x) for x in (_BATCH_ROWS, _BATCH_BYTES)] == ["10", str(1 << 20)]
-        sizes = spark.range(1000).repartition(1).mapInArrow(lambda batches: batches, "id bigint")
-        assert sizes.count() == 1000
-    assert [spark.conf.get(x, None) for x in (_BATCH_ROWS, _BATCH_BYTES)] == before
-    assert [_bytes(x) for x in ("10000", "64m", "8MB", "1g", "-1")] == [10000, 64 << 20, 8 << 20, 1 << 30, -1]
