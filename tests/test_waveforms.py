@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_golden import MARKS, mapping
-from wavemill.operators import annotate, metrics, model, ordered, windowing
+from wavemill.operators import annotate, lineage, metrics, model, ordered, windowing
 from wavemill.sources import ingest, window_table
 
 SAMPLES = "record_id string, channel_name string, sample_index bigint, value double"
@@ -242,3 +242,16 @@ def test_damaged_missing_and_drifted_files_are_not_proven(spark, tmp_path):
     assert {r for r, _ in state(spark, target)} == {"r0", "r1", "r2", "r3"}
     empty = str(tmp_path / "none")
     assert ingest.ingest(manifest.limit(0), contents.limit(0), empty).collect() == [] and ingest.ingested(spark, empty).collect() == []
+
+
+def test_a_role_without_its_file_is_refused(spark):
+    run = "00000000-0000-4000-8000-000000000001"
+    listed = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "path string, size_bytes bigint, sha256 string")
+    roles = spark.createDataFrame([("a", "config"), ("b", "data")], "path string, role string")
+    assert sorted(map(tuple, lineage.run_manifest(listed, roles, run).collect())) == [(run, "config", "a", 1, "x"), (run, "data", "b", 2, "y")]
+    with pytest.raises(Exception, match="no file: b"):
+        lineage.run_manifest(listed.where("path = 'a'"), roles, run).collect()
+    assert [r.path for r in lineage.run_manifest(listed, roles.where("path = 'a'"), run).collect()] == ["a"]
+    for files, known in ((listed.unionByName(listed.where("path = 'a'")), roles), (listed, roles.unionByName(roles.where("path = 'a'")))):
+        with pytest.raises(Exception, match="listed twice: a"):
+            lineage.run_manifest(files, known, run).collect()

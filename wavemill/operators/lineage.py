@@ -122,14 +122,16 @@ def missing_files(index: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def run_manifest(files: DataFrame, roles: DataFrame, run_id: str) -> DataFrame:
-    """run_id, role, path, size_bytes, sha256 of the files whose path has a role. A path that is listed twice, in the files or in
-    the roles, fails the job; a run id must be a UUID."""
+    """run_id, role, path, size_bytes, sha256 of the files that have a role in the run; other files of the inventory are none of
+    it. A role without its file, or a path that is listed twice, in the files or in the roles, fails the job; a run id must be a UUID."""
     if not re.fullmatch(UUID, run_id):
         raise ValueError("a run id must be a UUID")
-    rows = files.join(roles, "path").select(F.lit(run_id).alias("run_id"), "role", "path", "size_bytes", "sha256")
+    known = roles.select(F.col("path").alias("listed"), "role")
+    rows = files.select("path", "size_bytes", "sha256", F.lit(True).alias("there")).join(known, F.col("path") == F.col("listed"), "right")
+    rows = rows.where(refuse(F.col("there").isNotNull(), F.concat(F.lit("no file: "), F.coalesce("listed", F.lit("null")))))
     times = F.count(F.lit(1)).over(Window.partitionBy("path"))
     rows = rows.withColumn("times", times).where(refuse(F.col("times") == 1, F.concat(F.lit("listed twice: "), F.col("path"))))
-    return rows.drop("times")
+    return rows.select(F.lit(run_id).alias("run_id"), "role", "path", "size_bytes", "sha256")
 
 
 def manifest_digest(manifest: DataFrame) -> DataFrame:
