@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemill.functions import scalars
-from wavemill.operators import annotate, drift, experiments, lineage, metrics, model, quality, split, windowing
+from wavemill.operators import annotate, drift, experiments, hashtree, lineage, metrics, model, quality, split, windowing
 from wavemill.operators.ordered import with_previous
 from wavemill.plans import fixtures as fx
 from wavemill.sources import ingest, tables, window_table
@@ -441,6 +441,15 @@ def c7(spark, sf):
     return lineage.inventory_diff(fx.manifest(spark, sf), files.unionByName(extra))
 
 
+@register(
+    "c7_changed_files",
+    f"""WITH {fx.INVENTORY} SELECT coalesce(m.path, i.path) AS path, CASE WHEN i.path IS NULL THEN 'missing' WHEN m.path IS NULL THEN 'extra' WHEN m.size_bytes <> i.size_bytes THEN 'size' ELSE 'digest' END AS status
+  FROM manifest m FULL JOIN inventory i USING (path) WHERE (m.size_bytes = i.size_bytes AND m.sha256 = i.sha256) IS DISTINCT FROM true""",
+)
+def c7_changed(spark, sf):
+    return hashtree.changed_files(fx.manifest(spark, sf), fx.inventory(spark, sf))
+
+
 @register("c8_verify_lineage", f"WITH {fx.INVENTORY} SELECT m.record_id AS role, m.path, (m.size_bytes = i.size_bytes AND m.sha256 = i.sha256) IS NOT DISTINCT FROM true AS ok FROM manifest m LEFT JOIN inventory i USING (path)")
 def c8(spark, sf):
     return lineage.verify_lineage(fx.manifest(spark, sf).withColumnRenamed("record_id", "role"), fx.inventory(spark, sf))
@@ -1049,6 +1058,14 @@ def i16_digest(spark, sf):
     return lineage.manifest_digest(_run_files(spark, sf))
 
 
+_LANES = ", ".join(f"CAST(sum(CAST('0x' || substr(d, {8 * k + 1}, 8) AS BIGINT)) AS BIGINT)" for k in range(8))
+
+
+@register("i16_manifest_root", f"WITH {_MANIFEST}, r AS (SELECT *, sha256(concat_ws('|', size_bytes, sha256, role || ':' || path)) AS d FROM run) SELECT '{fx.RUN}' AS run_id, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS size_bytes, sha256(concat_ws('|', count(*), {_LANES})) AS digest FROM r")
+def i16_root(spark, sf):
+    return hashtree.manifest_root(_run_files(spark, sf))
+
+
 def _approvals(spark, sf):
     """Approvals of a run that has files of both roles, and of one that lacks configuration."""
     good, other = _run_files(spark, sf), _run_files(spark, sf, OTHER_RUN, "evidence")
