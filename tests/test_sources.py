@@ -1,5 +1,8 @@
+import hashlib
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -96,3 +99,35 @@ def test_streams(spark, tmp_path):
     counts = stream_symbol_counts(spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")), "1 day")
     counts.writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c2")).start().awaitTermination(120)
     assert spark.table("counts").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_inventory_takes_empty_and_large_files_in_flat_memory(spark, tmp_path):
+    folder = tmp_path / "of all sizes"
+    folder.mkdir()
+    (folder / "none %41+1.dat").touch()
+    (folder / "some.dat").write_bytes(b"abc")
+    with open(folder / "large é.dat", "wb") as file:
+        file.truncate(3 << 30)
+    (folder / "other.txt").touch()
+    found = {r["path"].rsplit("/", 1)[-1]: r for r in tables.file_inventory(spark, str(folder), "*.dat").collect()}
+    zeros = hashlib.sha256()
+    for _ in range(3 << 10):
+        zeros.update(bytes(1 << 20))
+    want = {"none %41+1.dat": (0, hashlib.sha256().hexdigest()), "some.dat": (3, hashlib.sha256(b"abc").hexdigest()), "large é.dat": (3 << 30, zeros.hexdigest())}
+    assert {name: (r["size_bytes"], r["sha256"]) for name, r in found.items()} == want
+    for name, r in found.items():
+        assert abs(r["modified"].timestamp() - (folder / name).stat().st_mtime) < 1
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    assert tables.stream_digest(str(folder / "large é.dat")) == zeros.hexdigest()
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20 and pa.total_allocated_bytes() - before < 8 << 20
+    tracemalloc.stop()
+
+
+def test_inventory_of_streamed_files_equals_that_of_rows(spark, tmp_path, monkeypatch):
+    for k in range(20):
+        (tmp_path / f"{k}.bin").write_bytes(bytes([k]) * (k * 1000))
+    rows = lambda: sorted(map(tuple, tables.file_inventory(spark, str(tmp_path), recursive=True).collect()))
+    whole = rows()
+    monkeypatch.setattr(tables, "STREAMED_BYTES", 5000)
+    assert len(whole) == 20 and rows() == whole

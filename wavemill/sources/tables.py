@@ -1,9 +1,15 @@
-"""Scans and sinks. Paths go through Spark's readers and writers only, so any store that Spark knows will do."""
+"""Scans and sinks. Paths go through Spark's readers and writers, so any store that Spark knows will do; only digests of large files
+and times of empty ones need a store that Arrow knows too."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote, unquote, urlsplit
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +29,65 @@ def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("schema_version", F.inline("files"))
 
 
+#: Files of this size and larger are read in blocks instead of as one row.
+STREAMED_BYTES = 64 << 20
+_BLOCK = 1 << 20
+
+
+def _files(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
+
+
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system that a path names, and the path as it takes it."""
+    where = urlsplit(quote(path, safe="/:@=+,"))
+    return (fs.LocalFileSystem(), unquote(where.path)) if where.scheme in ("", "file") else fs.FileSystem.from_uri(where.geturl())
+
+
+def stream_digest(path: str) -> str:
+    """sha256 of a file of any size, read in blocks of 1 MiB from the store that its path names."""
+    store, name = _store(path)
+    digest = hashlib.sha256()
+    with store.open_input_stream(name, buffer_size=0) as file:
+        while block := file.read(_BLOCK):
+            digest.update(block)
+    return digest.hexdigest()
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = [stream_digest(path) for path in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], ["path", "size_bytes", "modified", "sha256"])
+
+
+def _empty_files(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """path, size_bytes, modified of files without bytes, which Spark lists but doesn't scan. The list of names is the one that
+    the driver holds for the scan anyway; tasks ask the store for the size and time of those that the scan left out."""
+    listed = [(re.sub("^([^:/]+):///", r"\1:/", unquote(name)),) for name in found.inputFiles()]
+    names = spark.createDataFrame(listed, "path string").join(found.select("path"), "path", "left_anti")
+
+    def stat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            infos = [store.get_file_info(name) for store, name in map(_store, batch.column(0).to_pylist())]
+            sizes, times = pa.array([i.size for i in infos], pa.int64()), pa.array([i.mtime for i in infos], pa.timestamp("us", "UTC"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes, times], ["path", "size_bytes", "modified"])
+
+    return names.mapInArrow(stat, "path string, size_bytes bigint, modified timestamp").where("size_bytes = 0")
+
+
 def file_inventory(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
-    """path, size_bytes, sha256, modified of files; a file is one row, so each must be below 2 GB. Spark leaves out files without bytes."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
-    return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
+    """path, size_bytes, sha256, modified of files of any size, those without bytes included.
+
+    Files below ``STREAMED_BYTES`` are digested as rows, where Spark reads them; contents of larger ones are no row, but are read
+    in blocks by the task that has the path, through the store's own file system, in flat memory. Names that begin with an
+    underscore or a dot are no files to Spark.
+    """
+    found = _files(spark, path, glob, recursive)
+    small = found.where(F.col("length") < STREAMED_BYTES).select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    large = found.where(F.col("length") >= STREAMED_BYTES).select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+    large = large.mapInArrow(_streamed, "path string, size_bytes bigint, modified timestamp, sha256 string")
+    empty = _empty_files(spark, found).withColumn("sha256", F.sha2(F.lit(b""), 256))
+    return small.unionByName(large).unionByName(empty).select("path", "size_bytes", "sha256", "modified")
 
 
 def file_sizes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
