@@ -188,6 +188,12 @@ class TextEncoder:
             cuts = joined
         return self._joined(self.split(cuts[0])) + b"".join(map(self.cuts.__getitem__, cuts[1:]))
 
+    def forget(self) -> None:
+        """Give up what is remembered."""
+        for memory in (self.cuts, self.others):
+            memory.clear()
+            memory.old = {}
+
     def encode_column(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The same for a column, null as empty: for each group of some rows their ids as one array, and the rows' bounds in it."""
         texts = texts.fill_null("")
@@ -222,6 +228,9 @@ class TextEncoder:
         return ids, np.concatenate([[0], ends[starts + counts - 1]])
 
 
+#: Cuts that a worker remembers within a task; it forgets them when the task ends, since other stages run in the same worker.
+REMEMBERED = 200_000
+
 _encoders: dict[str, tuple[BytePairs, TextEncoder, list[str]]] = {}
 
 
@@ -230,7 +239,7 @@ def _encoder(content: bytes) -> tuple[BytePairs, TextEncoder, list[str]]:
     key = hashlib.sha256(content).hexdigest()
     if key not in _encoders:
         pairs = BytePairs.parse(content)
-        text = TextEncoder(lambda s: array("I", pairs.encode_piece(s.encode())).tobytes())
+        text = TextEncoder(lambda s: array("I", pairs.encode_piece(s.encode())).tobytes(), limit=REMEMBERED)
         _encoders[key] = pairs, text, [str(x) for x in range(pairs.span)]
     return _encoders[key]
 
@@ -254,6 +263,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("<i4")))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(lists)), lists], ["id", "ids"])
                 row += len(lists)
+        encoder.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
@@ -292,6 +302,7 @@ def bpe_digest(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
                     of_ids.append(hashlib.sha256(",".join([numerals[x] for x in ids]).encode()).hexdigest())
                     of_bytes.append(hashlib.sha256(pairs.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["id", "n", "a", "b"])
+        encoder.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(digest, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
