@@ -26,12 +26,6 @@ from wavemill.llm.toxicity import fit_toxicity, score_toxicity
 BROADCAST_ROWS = 1_000_000
 
 
-def _let_go(spark: SparkSession) -> None:
-    """Have the driver collect its garbage: only then does Spark remove broadcasts and shuffles of the stages before, which
-    executors hold as long as the driver has a handle to them, used or not."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc, a struct of a row's own columns, and key, a text of its id and a hash of what it is judged by; equal rows share one."""
     judged = F.xxhash64("text", F.col("lang"), F.col("source"))
@@ -55,7 +49,6 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts too short for a trigram are judged by their other evidence. Null languages and sources are no evidence; ties go to
     the first language by name. The fit takes the first texts of each language by a hash, and leaves ids as they are.
     """
-    _let_go(spark)
     docs = docs.where(F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)))
     model = fit_trigrams(docs)
     rows = _keyed(docs).select("key", "doc.text", "doc.lang", "doc.source")
@@ -69,7 +62,6 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is scored as an empty one. Without labels of both kinds the untrained classifier decides, which rejects
     nothing. Labels are read from ``sf_dir``.
     """
-    _let_go(spark)
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = _keyed(docs).select("key", "doc.text")
     return _without(docs, score_toxicity(rows, model, id_col="key"), F.col("predicted") == 1)
@@ -81,7 +73,6 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are alone. Where ids repeat or are null, rows are told apart by a hash of id and text, rows with
     the same are one, and the one kept of a group has the smallest id that isn't null, and of equal ids the smallest row.
     """
-    _let_go(spark)
     odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null")
     if odd.isEmpty():
         parts = jaccard_components(docs.select("doc_id", "text"), words=5, percent=80).where(F.col("component_id") != F.col("doc_id"))
@@ -101,13 +92,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null source is one source, ordered last; documents without words go.
     """
-    _let_go(spark)
     return mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE of each document that is left: doc_id, n_tokens, ids_sha256, decoded_sha256. A null text counts as empty."""
-    _let_go(spark)
     return bpe_digest(docs, MULTI_RANKS)
 
 
