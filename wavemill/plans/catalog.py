@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemill.functions import scalars
-from wavemill.operators import annotate, drift, experiments, hashtree, lineage, metrics, model, quality, split, windowing
+from wavemill.operators import annotate, boosting, drift, experiments, hashtree, lineage, metrics, model, quality, split, windowing
 from wavemill.operators.ordered import with_previous
 from wavemill.plans import fixtures as fx
 from wavemill.sources import ingest, tables, window_table
@@ -1172,6 +1172,14 @@ def j6(spark, sf):
     return model.predict(fitted, rows.where("partition = 'validation'")).select("ordinal", "label", "prediction")
 
 
+@register("j6_histogram_boosting")
+def j6_histograms(spark, sf):
+    rows = fx.feature_partitions(spark, sf).withColumn("target_value", (F.col("target_value") > 4).cast("int"))
+    fitted = boosting.fit_boosted_trees(rows.where("partition = 'train'"), rounds=20)
+    found = boosting.predict_boosted(fitted, rows.where("partition = 'validation'"))
+    return found.select("ordinal", F.col("target_value").alias("label"), F.round("probability", 6).alias("probability"), "prediction")
+
+
 @register("j7_depth_sweep")
 def j7(spark, sf):
     rows = fx.feature_partitions(spark, sf)
