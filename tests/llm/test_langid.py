@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -80,3 +81,34 @@ def test_rare_languages_are_in_a_bounded_fit(spark):
     assert (model.weights[:, 0] == alone.weights[:, 0]).all() and (alone.weights != every.weights).any()
     rows = spark.createDataFrame([(1, None, None, None, None, "3 ska och att")], "id bigint, declared string, suffix string, host string, site string, text string")
     assert fuse_evidence(rows, model).first().text_lang == "r3"
+
+
+def trigram_chances(texts):
+    """Smoothed logarithms of the shares of hashed byte trigrams, counted one by one."""
+    counts = np.full(1 << 16, 0.5)
+    for text in texts:
+        data = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
+        for k in range(len(data) - 2):
+            counts[int.from_bytes(data[k : k + 3], "big") * 0x9E3779B1 % (1 << 32) >> 16] += 1
+    return np.log(counts / counts.sum())
+
+
+def test_fit_recounted(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = fit_trigrams(docs)
+    texts = {}
+    for r in docs.where("lang is not null and text is not null").collect():
+        texts.setdefault(r.lang, []).append(r.text)
+    assert model.languages == sorted(texts)
+    for k, lang in enumerate(model.languages):
+        assert np.allclose(model.weights[:, k], trigram_chances(texts[lang]), atol=1e-5)
+
+
+def test_dirty_labels_do_not_grow_the_model(spark):
+    rows = [(k, f"the {k} of and", "en") for k in range(40)] + [(100 + k, f"{k} ska och att", "sv") for k in range(20)] + [(1000 + k, f"{k} noise", f"junk {k:04}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    model = fit_trigrams(docs, languages_at_most=3)
+    assert model.languages == ["en", "junk 0000", "sv"]
+    for k, texts in enumerate(([t for _, t, lang in rows if lang == "en"], ["0 noise"], [t for _, t, lang in rows if lang == "sv"])):
+        assert np.allclose(model.weights[:, k], trigram_chances(texts), atol=1e-5)
+    assert len(fit_trigrams(docs).languages) == 300

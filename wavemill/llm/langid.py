@@ -54,14 +54,16 @@ class TrigramModel:
         return sums, counts
 
 
-def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = 8000) -> TrigramModel:
+def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = 8000, languages_at_most: int = 300) -> TrigramModel:
     """Fit on up to ``sample_rows`` labelled texts of each language (the first by a hash of their ids, to within a slice of the
     hashes), whole.
 
     Every language that labels a text is drawn from by itself, so a rare one is in the model at any size of the table. A
     text without an id is drawn by its own hash; texts that share an id are drawn together.
-    Counts are grouped by language and bucket on the executors; the driver gets one number for each, half a megabyte for each
-    language.
+    A column of dirty labels can't outgrow memory: the ``languages_at_most`` labels with the most texts (ties to the first by
+    name) are languages, and texts under any other label teach nothing, though they are told apart like all others.
+    Counts are grouped by language and bucket on the executors; the driver gets one number for each, less than a megabyte for
+    each language.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +83,8 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     # of a language with more texts, draws up to about twice as many as wanted are counted in 1,024 slices, and as many whole
     # slices are taken as fit, one at least; no task orders a language's rows
     share = F.least(F.lit(1.0), (2.0 * sample_rows + 100) / F.col("n"))
-    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", "n", share.alias("share"))
+    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages_at_most)
+    shares = materialise(shares.select("lang", share.alias("share")), "languages")
     drawn = rows.select("lang", "draw").join(F.broadcast(shares), "lang")
     slice_ = F.floor((F.col("draw") / 2.0**64 + 0.5) / F.col("share") * 1024)
     counts = drawn.withColumn("slice", slice_).where("slice <= 1024").groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("k"), F.max("draw").alias("top"))
@@ -89,13 +92,13 @@ def fit_trigrams(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     counts = counts.withColumns({"upto": upto, "first": F.row_number().over(Window.partitionBy("lang").orderBy("slice")) == 1})
     last = materialise(counts.where((F.col("upto") <= sample_rows) | F.col("first")).groupBy("lang").agg(F.max("top").alias("last")), "drawn")
     sample = rows.join(F.broadcast(last), "lang").where("draw <= last").select("lang", "text")
-    found = sample.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    discard(last)
-    languages = sorted(found["lang"].unique()) or ["und"]
+    found = sample.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    found = found.groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("numbers")).toArrow().sort_by("lang")
+    discard(last, shares)
+    languages = found["lang"].to_pylist() or ["und"]
     counts = np.zeros((BUCKETS, len(languages)))
-    for k, lang in enumerate(languages):
-        own = found[found["lang"] == lang]
-        counts[own["bucket"].to_numpy(), k] = own["n"].to_numpy()
+    for k in range(found.num_rows):
+        counts[np.asarray(found["buckets"][k].values), k] = np.asarray(found["numbers"][k].values)
     return TrigramModel.of_counts(languages, counts)
 
 
