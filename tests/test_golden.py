@@ -277,6 +277,20 @@ def test_candidates(spark):
     assert order(higher_is_better=False, missing_last=False) == ["d", "a", "c", "b"]
 
 
+@pytest.mark.parametrize("metrics", [[1e300] + [k % 50 / 7 for k in range(999)], [math.inf, -math.inf, math.nan, None, *(math.sin(k) for k in range(996))], [0.5] * 1000])
+@pytest.mark.parametrize("higher", [True, False])
+def test_ranks_are_spread_over_tasks(spark, monkeypatch, metrics, higher):
+    ranked = []
+    plain = experiments.written
+    monkeypatch.setattr(experiments, "written", lambda *a: ranked.append(plain(*a)) or ranked[-1])
+    rows = spark.createDataFrame([(k, m) for k, m in enumerate(metrics)], "ordinal int, metric double").withColumns({"rank": F.lit("x"), "part": F.lit(1)}).repartition(3)
+    got = experiments.rank_candidates(rows, higher_is_better=higher).orderBy("place").collect()
+    absent = lambda m: m is None or math.isnan(m)
+    order = sorted(range(1000), key=lambda k: (absent(metrics[k]), 0 if absent(metrics[k]) else -metrics[k] if higher else metrics[k], k))
+    assert [r["ordinal"] for r in got] == order and [r["place"] for r in got] == list(range(1, 1001))
+    assert max(r["count"] for r in ranked[0].groupBy("part").count().collect()) < 500
+
+
 def test_window_rules(spark):
     rows = [("a", 0, 5, [1.0]), ("a", 1, 4, [1.0]), ("b", 0, 1, [math.nan]), ("c", 0, -1, [1.0, 2.0]), ("c", 1, 3, [1.0])]
     got = {r.record_id: r for r in quality.validate_windows(spark.createDataFrame(rows, "record_id string, ordinal int, center_sample_index bigint, window array<double>")).collect()}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wavemill.sources.scratch import written
+
 
 def pending_candidates(candidates: DataFrame, done: DataFrame) -> DataFrame:
     return candidates.join(done.select("candidate_id"), "candidate_id", "left_anti")
@@ -13,18 +15,19 @@ def pending_candidates(candidates: DataFrame, done: DataFrame) -> DataFrame:
 def rank_candidates(results: DataFrame, higher_is_better: bool = True, missing_last: bool = True) -> DataFrame:
     """Adds place (from 1) by metric; ties keep the order of submission (ordinal); a missing metric comes last, or first.
 
-    Metrics are cut into 256 equal ranges between the lowest and the highest, whose counts put each range in its place, so
-    that no task orders all results.
+    Results are range-partitioned by (missing, metric, ordinal), at split points that Spark draws from the rows, so that outliers,
+    infinite metrics and a metric that most results share are spread too, and counts by partition put each in its place; no
+    task orders all results. NaN counts as missing.
     """
-    ends = results.agg(F.min("metric").cast("double").alias("lowest"), (F.max("metric") - F.min("metric")).cast("double").alias("span"))
-    step = F.floor(255 * (F.col("metric") - F.col("lowest")) / F.col("span"))
-    at = F.when(F.col("metric").isNull(), 256 if missing_last else -1).when(F.col("span") > 0, 255 - step if higher_is_better else step).otherwise(0)
-    rows = results.crossJoin(F.broadcast(ends)).withColumn("range", at.cast("int")).select(*results.columns, "range")
-    counts = rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    order = F.col("metric").desc() if higher_is_better else F.col("metric").asc()
-    within = F.row_number().over(Window.partitionBy("range").orderBy(order, "ordinal"))
-    return rows.withColumn("within", within).join(F.broadcast(counts), "range").select(*results.columns, (F.col("ahead") + F.col("within")).cast("int").alias("place"))
+    missing = F.col("metric").isNull() | F.isnan("metric")
+    better = F.col("rank").desc() if higher_is_better else F.col("rank").asc()
+    parts = int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = results.select(F.struct("*").alias("own"), F.when(missing, 1 if missing_last else -1).otherwise(0).alias("at"), F.when(~missing, F.col("metric")).alias("rank"), "ordinal")
+    placed = written(rows.repartitionByRange(parts, "at", better, "ordinal").withColumn("part", F.spark_partition_id()), "ranked")
+    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy("at", better, "ordinal"))
+    return placed.withColumn("within", within).join(F.broadcast(counts), "part").select("own.*", (F.col("ahead") + F.col("within")).cast("int").alias("place"))
 
 
 def compare_models(candidate: DataFrame, baseline: DataFrame) -> DataFrame:
@@ -56,7 +59,7 @@ def progress_estimates(log: DataFrame, units: DataFrame, at_least: int = 3) -> D
 def stage_durations(log: DataFrame, stages: DataFrame) -> DataFrame:
     """Seconds by run and stage, with zero for stages that a run has no entry of."""
     sums = log.groupBy("run_id", "stage").agg(F.sum("seconds").alias("seconds"))
-    grid = log.select("run_id").distinct().crossJoin(F.broadcast(stages.select("stage")))
+    grid = log.select("run_id").distinct().crossJoin(stages.select("stage"))
     return grid.join(sums, ["run_id", "stage"], "left").select("run_id", "stage", F.coalesce("seconds", F.lit(0.0)).alias("seconds"))
 
 
