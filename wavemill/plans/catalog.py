@@ -161,9 +161,12 @@ def a11(spark, sf):
     return tables.scan_window_metadata(rows).drop("left", "right", "schema_version")
 
 
-@register("a12_scan_windows", f"WITH {fx.WINDOWS} SELECT record_id, sample_index AS ordinal, target_value = 0 AS valid FROM win")
+@register("a12_scan_windows", f"WITH {fx.WINDOWS} SELECT record_id, sample_index AS ordinal, target_value = 0 AND sample_index % 11 <> 3 AND sample_index % 13 <> 5 AND sample_index % 17 <> 6 AND sample_index % 19 <> 7 AS valid FROM win")
 def a12(spark, sf):
-    return tables.scan_windows(fx.windows(spark, sf), 4, [0]).select("record_id", "ordinal", "valid")
+    """Windows some of which are too narrow, hold NaN or infinity, are not there, or have another class."""
+    at, w = F.col("ordinal"), F.col("window")
+    broken = F.when(at % 11 == 3, F.slice(w, 1, 3)).when(at % 13 == 5, F.transform(w, lambda x: F.lit(float("nan")))).when(at % 17 == 6, F.transform(w, lambda x, k: F.when(k == 3, float("-inf")).otherwise(x))).when(at % 19 != 7, w)
+    return tables.scan_windows(fx.windows(spark, sf).withColumn("window", broken), 4, [0]).select("record_id", "ordinal", "valid")
 
 
 @register("a15_report", f"WITH {fx.SUMMARY} SELECT '{{\"class_0\":' || class_0 || ',\"class_1\":' || class_1 || ',\"partition\":\"' || \"partition\" || '\",\"records\":' || records || ',\"subjects\":' || subjects || ',\"windows\":' || windows || '}}' AS json FROM summary")
@@ -265,10 +268,11 @@ def _roles(spark):
 
 _RULES = f"""{fx.EV}, {fx.REC}, marks AS (SELECT record_id, user_id, sample_index, CASE WHEN user_id % 5 = 1 THEN -sample_index ELSE sample_index END AS i, symbol, value FROM ev),
 fell AS (SELECT *, i < lag(i) OVER (PARTITION BY record_id ORDER BY sample_index) AS f FROM marks),
-by_record AS (SELECT record_id, min(i) AS a, max(i) AS b, bool_or(coalesce(f, false)) AS f, bool_and(NOT (user_id % 7 = 2 AND sample_index = 0)) AS fine FROM fell GROUP BY 1),
+by_record AS (SELECT record_id, min(i) AS a, max(i) AS b, bool_or(coalesce(f, false)) AS f, bool_and(NOT (user_id % 7 = 2 AND sample_index = 0)) AS fine,
+  bool_and(NOT (user_id % 10 = 6 AND sample_index = 2) AND NOT (user_id % 10 = 8 AND sample_index = 1)) AS named FROM fell GROUP BY 1),
 rules AS (SELECT record_id, unnest([
-  {{'rule': 'configured', 'ok': user_id % 4 <> 0}}, {{'rule': 'rate', 'ok': user_id % 6 <> 1}}, {{'rule': 'non_empty', 'ok': true}}, {{'rule': 'finite', 'ok': fine}},
-  {{'rule': 'channels', 'ok': user_id % 8 <> 3}}, {{'rule': 'units', 'ok': user_id % 9 <> 4}}, {{'rule': 'annotated', 'ok': true}},
+  {{'rule': 'configured', 'ok': user_id % 4 <> 0}}, {{'rule': 'rate', 'ok': user_id % 6 <> 1}}, {{'rule': 'non_empty', 'ok': user_id % 11 <> 7}}, {{'rule': 'finite', 'ok': fine}},
+  {{'rule': 'channels', 'ok': user_id % 8 <> 3 OR user_id % 11 = 7}}, {{'rule': 'units', 'ok': user_id % 9 <> 4 AND user_id % 11 <> 7}}, {{'rule': 'annotated', 'ok': named}},
   {{'rule': 'in_range', 'ok': a >= 0 AND b < sample_count}}, {{'rule': 'ordered', 'ok': NOT f}}]) AS x FROM rec JOIN by_record USING (record_id))"""
 
 
@@ -279,13 +283,15 @@ def b9(spark, sf):
     rows = fx.records(spark, sf).withColumns(
         {
             "sample_rate_hz": F.when(at % 6 == 1, 2.0).otherwise(1.0),
-            "channel_names": F.when(at % 8 == 3, F.array(F.lit("value"), F.lit("value"))).otherwise(F.col("channel_names")),
+            "channel_names": F.when(at % 11 == 7, F.array().cast("array<string>")).when(at % 8 == 3, F.array(F.lit("value"), F.lit("value"))).otherwise(F.col("channel_names")),
             "units": F.when(at % 9 == 4, F.array(F.lit("u"))).otherwise(F.col("units")),
         }
     )
     events = fx.events(spark, sf)
     broken = events.withColumn("value", F.when((at % 7 == 2) & (F.col("sample_index") == 0), F.lit(float("nan"))).otherwise(F.col("value")))
-    marks = events.select("record_id", F.col("sample_index").alias("ordinal"), F.when(at % 5 == 1, -F.col("sample_index")).otherwise(F.col("sample_index")).alias("sample_index"), "symbol")
+    index = F.col("sample_index")
+    symbol = F.when((at % 10 == 6) & (index == 2), "").when((at % 10 != 8) | (index != 1), F.col("symbol"))
+    marks = events.select("record_id", index.alias("ordinal"), F.when(at % 5 == 1, -index).otherwise(index).alias("sample_index"), symbol.alias("symbol"))
     known = rows.where("user_id % 4 <> 0").select("record_id")
     chunks = windowing.chunk_signal(broken.select("record_id", F.lit("value").alias("channel_name"), "sample_index", "value"), fx.CHUNK)
     return quality.validate_records(rows.drop("user_id"), chunks, marks, known, 1.0)
@@ -333,10 +339,11 @@ def b14(spark, sf):
     return metrics.null_counts(rows.select("doc_id", "quality", "toxic"))
 
 
-@register("b15_missing_required", "SELECT DISTINCT p_brand AS name FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 45)")
+@register("b15_missing_required", "SELECT DISTINCT p_brand || ' ' || p_size AS name FROM part WHERE p_brand || ' ' || p_size NOT IN (SELECT p_brand || ' ' || p_size FROM part WHERE p_partkey % 3 = 0)")
 def b15(spark, sf):
-    parts = fx.table(spark, sf, "part").select(F.col("p_brand").alias("name"), "p_size")
-    return quality.missing_required(parts, parts.where("p_size > 45"))
+    """Sizes of a brand that no part of every third number has."""
+    parts = fx.table(spark, sf, "part").select(F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("name"), "p_partkey")
+    return quality.missing_required(parts, parts.where("p_partkey % 3 = 0"))
 
 
 @register("b16_vocabulary_drift", "WITH c AS (SELECT conv_id, list(role ORDER BY turn) AS roles FROM conversations GROUP BY 1) SELECT conv_id, array_to_string(list_filter(roles, lambda x: x NOT IN ('user', 'assistant')), ',') AS unknown FROM c WHERE len(list_filter(roles, lambda x: x NOT IN ('user', 'assistant'))) > 0")
@@ -1035,13 +1042,16 @@ _SHARES = ["subject_share", "record_share", "shard_share", "window_share", "posi
 
 @register(
     "i14_split_diagnostics",
-    f"""WITH {fx.SUMMARY}, d AS (SELECT "partition", subjects, records, records AS shards, windows, class_0, class_1, subjects / sum(subjects) OVER () AS subject_share, records / sum(records) OVER () AS record_share,
-  records / sum(records) OVER () AS shard_share, windows / sum(windows) OVER () AS window_share, class_1 / sum(class_1) OVER () AS positive_share,
-  CASE WHEN windows = 0 THEN 0 ELSE class_1 / windows END AS prevalence, CASE WHEN "partition" = 'train' THEN 0.7::DOUBLE ELSE 0.15::DOUBLE END AS asked FROM summary)
+    f"""WITH {fx.SUMMARY}, held AS (SELECT "partition", count(*) + count(*) FILTER (CAST(record_id AS BIGINT) % 3 = 0) AS shards FROM member GROUP BY 1),
+d AS (SELECT "partition", subjects, records, coalesce(shards, 0) AS shards, windows, class_0, class_1, subjects / sum(subjects) OVER () AS subject_share, records / sum(records) OVER () AS record_share,
+  coalesce(shards, 0) / sum(shards) OVER () AS shard_share, windows / sum(windows) OVER () AS window_share, class_1 / sum(class_1) OVER () AS positive_share,
+  CASE WHEN windows = 0 THEN 0 ELSE class_1 / windows END AS prevalence, CASE WHEN "partition" = 'train' THEN 0.7::DOUBLE ELSE 0.15::DOUBLE END AS asked FROM summary LEFT JOIN held USING ("partition"))
 SELECT * REPLACE ({', '.join(f'round({c}, 9) AS {c}' for c in _SHARES[:-1])}), round(abs(subject_share - asked), 9) AS deviation FROM d""",
 )
 def i14(spark, sf):
-    shards = fx.records(spark, sf).select("record_id", F.concat(F.lit("shard/"), "record_id").alias("path"))
+    """Every third record lies in two shards, one of which is listed twice."""
+    parts = F.when(F.col("record_id").cast("long") % 3 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    shards = fx.records(spark, sf).select("record_id", F.explode(parts).alias("part")).select("record_id", F.concat_ws("/", F.lit("shard"), "record_id", "part").alias("path"))
     return _rounded(quality.split_diagnostics(fx.windows(spark, sf), fx.assignment(spark, sf), shards=shards), *_SHARES, digits=9)
 
 
