@@ -75,7 +75,7 @@ def project(rows: DataFrame, projection: np.ndarray, vector: str = "window") ->
 def project_sql(rows: DataFrame, projection: DataFrame, key: Sequence[str], vector: str = "window") -> DataFrame:
     """The same by DataFrame operations only: key, component, value."""
     long = rows.select(*key, F.posexplode(vector).alias("feature", "x"))
-    return long.join(F.broadcast(projection), "feature").groupBy(*key, "component").agg(F.sum(F.col("x").cast("double") * F.col("weight")).alias("value"))
+    return long.join(projection, "feature").groupBy(*key, "component").agg(F.sum(F.col("x").cast("double") * F.col("weight")).alias("value"))
 
 
 def class_mean_vectors(projected: DataFrame, label: str = "target_value") -> DataFrame:
@@ -170,7 +170,7 @@ def score(rows: DataFrame, model: CentroidModel, vector: str = "window") -> Data
 def score_sql(rows: DataFrame, projection: DataFrame, centroids: DataFrame, key: Sequence[str], vector: str = "window") -> DataFrame:
     """The same by DataFrame operations only: key, prediction, margin."""
     long = project_sql(rows, projection, key, vector)
-    distance = long.join(F.broadcast(centroids.withColumnRenamed("value", "center")), "component").groupBy(*key, "class").agg(F.sum((F.col("value") - F.col("center")) ** 2).alias("d"))
+    distance = long.join(centroids.withColumnRenamed("value", "center"), "component").groupBy(*key, "class").agg(F.sum((F.col("value") - F.col("center")) ** 2).alias("d"))
     order = Window.partitionBy(*key).orderBy("d", "class")
     placed = distance.withColumns({"place": F.row_number().over(order), "next": F.lead("d").over(order)})
     return placed.where("place = 1").select(*key, F.col("class").alias("prediction"), (F.col("next") - F.col("d")).alias("margin"))
