@@ -4,10 +4,12 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from wavemill.llm import bpe
 from wavemill.llm.bpe import PRETOKEN, BytePairs, TextEncoder, bpe_decode, bpe_digest, bpe_encode
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -44,6 +46,38 @@ def test_very_long_pretokens(ranks, library):
     assert pairs.encode_piece(b"") == []
 
 
+@pytest.mark.parametrize("few", [1, 10**9])
+def test_many_pieces_share_a_queue(ranks, monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
+    pairs, rng = BytePairs(ranks), random.Random(7)
+    pieces = [b"a" * k for k in range(80)] + [bytes(rng.randrange(256) for _ in range(rng.randint(0, 70))) for _ in range(500)]
+    pieces += ["".join(rng.choice(["an", "na", "ba", "é", "the", " "]) for _ in range(rng.randint(0, 30))).encode() for _ in range(2000)]
+    assert pairs.encode_pieces(pieces) == [np.array(pairs.encode_piece(x), "<u4").tobytes() for x in pieces]
+    assert pairs.encode_pieces([]) == []
+    odd = BytePairs({bytes([b]): b for b in range(256)} | {b"bc": 256, b"aa": 257, b"abc": 258, b"aabc": 259, b"ab": 260, b"abab": 261, b"ba": 262})
+    pieces = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 40))).encode() for _ in range(2000)]
+    assert odd.encode_pieces(pieces) == [np.array(odd.encode_piece(x), "<u4").tobytes() for x in pieces]
+
+
+@pytest.mark.parametrize("block, limit", [(1 << 16, 400_000), (7, 8)])
+def test_columns_encode_what_is_new_together(ranks, library, monkeypatch, block, limit):
+    for name, value in (("BLOCK", block), ("FEW", 1), ("GROUP", 4000), ("LAYOUT", 500)):
+        monkeypatch.setattr(bpe, name, value)
+    pairs, asked, rng = BytePairs(ranks), [], random.Random(11)
+
+    def many(pretokens):
+        asked.append(len(pretokens))
+        return pairs.encode_pieces([x.encode() for x in pretokens])
+
+    encoder = TextEncoder(lambda s: np.array(pairs.encode_piece(s.encode()), "<u4").tobytes(), limit=limit, encode_many=many)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60))) for _ in range(1000)] + [None, ""]
+    found = []
+    for ids, bounds in encoder.encode_column(pa.array(texts)):
+        found += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == [library.encode_ordinary(t or "") for t in texts]
+    assert sum(asked) > 1000
+
+
 def test_ties_merge_from_the_left():
     ranks = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aaaa": 257}
     assert BytePairs(ranks).encode_piece(b"aaaaa") == [257, ord("a")]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavemill.llm.common import connected_components, discard, materialise
+from wavemill.llm.common import connected_components, discard, giving_back, materialise
 from wavemill.llm.text import mix, row_groups, shingle_sets, utf8
 
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -72,6 +72,7 @@ def _possible(n_a: np.ndarray, n_b: np.ndarray, maps_a: _Bitmaps, maps_b: _Bitma
 
 
 def _digests(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    @giving_back
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
@@ -106,6 +107,7 @@ def _digests(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
 def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """The sorted shingle hashes of some documents, made again from their texts: less to keep than those of all."""
 
+    @giving_back
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
@@ -121,6 +123,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words:
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are as similar as asked, by exact intersection of sorted arrays."""
 
+    @giving_back
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -142,6 +145,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, wor
 def _bounded(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b, bits and sizes of both) to those pairs whose bitmaps let them be similar."""
 
+    @giving_back
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.arange(batch.num_rows)
@@ -183,6 +187,7 @@ def _tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
         a, b = np.where(id_[a] < id_[b], a, b), np.where(id_[a] < id_[b], b, a)
         return pa.RecordBatch.from_arrays([pa.array(id_[a]), pa.array(id_[b]), pa.array(n[a]), pa.array(n[b])], ["a", "b", "n_a", "n_b"])
 
+    @giving_back
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
