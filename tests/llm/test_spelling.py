@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -126,3 +127,25 @@ def test_chains_end_at_the_last_form(spark):
     counts = {"aaaaa" + "b" * k: 10**k for k in range(12)}
     got = {r["word"]: r["root"] for r in spelling_forms(frame(spark, counts)).collect()}
     assert set(got.values()) == {"aaaaa" + "b" * 11}
+
+
+def test_pairs_are_joined_once(spark):
+    plan = near_words(frame(spark, {"abcdefg": 2, "abcdefh": 3}))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Join") for line in plan.splitlines()) == 1
+
+
+def test_only_long_runs_are_cut_out_and_only_ascii_is_lowered(spark):
+    texts = ["abcdef ABCDEFG-abcdefg a1bcdefgh ÀBCDEFG Àbcdefg àbcdefg xÀ÷y×zßÿ abcdefÀ"] * 2 + ["ab" * 3 + "÷" + "cd" * 3, "İABCDEFG KABCDEF"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    for damage in (0, 1):
+        counts = {r["word"]: r["n"] for r in word_counts(docs, damage=damage, min_count=1).collect()}
+        want = Counter()
+        for k, t in enumerate(texts):
+            for run in re.findall(r"[A-Za-z\u00C0-\u00FF]+", t):
+                word = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+                at = zlib.crc32(f"{k}:{word}".encode()) % len(word)
+                word = word[:at] + word[at + 1 :] if damage else word
+                want[word] += len(word) >= 7
+        assert counts == {w: n for w, n in want.items() if n}
+    plan = word_counts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "{7,}" in plan

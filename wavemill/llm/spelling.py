@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 from wavemill.llm.common import discard, materialise
 
 #: What a word is made of.
-RUN = r"[A-Za-zÀ-ÿ]+"
+LETTER = "[A-Za-zÀ-ÿ]"
 #: One edit leaves one of two disjoint grams whole, and two bigrams that overlap a third at most are always among three.
 PIVOTS, PREFIX = 2, 3
 #: Frequencies of this number of grams at most are broadcast; more are joined by a shuffle.
@@ -23,12 +23,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_length: int = 7, min_count: int = 2, damage: int = 31) -> DataFrame:
     """word, n: how often each word of ``min_length`` code points or more occurs, if it does ``min_count`` times or more.
 
-    Words are the maximal runs of ``RUN``, A-Z lower-cased. Where the unsigned crc32 of ``<id>:<word>`` is divisible by ``damage`` the
+    Words are the maximal runs of ``LETTER``, A-Z lower-cased. Where the unsigned crc32 of ``<id>:<word>`` is divisible by ``damage`` the
     code point at that number modulo the word's length is deleted, before anything is counted (0: nothing is). A null id counts
     as an empty one, a null text has no words. Whole texts are read, in JVM functions, and counted where they lie before counts travel.
     """
-    runs = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(RUN), 0)).alias("run"))
-    runs = runs.select("id", F.translate("run", _UPPER, _LOWER).alias("word"))
+    # a deletion only shortens, so shorter runs are left out at once; a match that is long enough starts where its run does
+    run = F.lit(f"{LETTER}{{{max(1, min_length)},}}")
+    runs = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.explode(F.regexp_extract_all(F.col(text_col), run, 0)).alias("run"))
+    ascii_only = F.octet_length("run") == F.length("run")  # there, lower() changes what translate() would
+    runs = runs.select("id", F.when(ascii_only, F.lower("run")).otherwise(F.translate("run", _UPPER, _LOWER)).alias("word"))
     if damage:
         drawn = F.crc32(F.concat("id", F.lit(":"), "word").cast("binary"))
         at = F.pmod(F.col("drawn"), F.length("word")).cast("int")
@@ -120,7 +123,10 @@ def near_words(words: DataFrame) -> DataFrame:
     probes = probes.select("word", keyed(F.col("length")))
     met = probes.join(index, "key").where(F.col("word") != F.col("other")).select("word", "other")
     met = met.where(F.levenshtein("word", "other", 1) == 1)
-    return met.unionByName(met.select(F.col("other").alias("word"), F.col("word").alias("other"))).distinct()
+    # a union of both orders would join twice
+    pairs = met.select(F.least("word", "other").alias("a"), F.greatest("word", "other").alias("b")).distinct()
+    both = F.inline(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("other")), F.struct(F.col("b").alias("word"), F.col("a").alias("other"))))
+    return pairs.select(both)
 
 
 def spelling_forms(words: DataFrame, *, ratio: int = 10) -> DataFrame:
