@@ -96,8 +96,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE of each document that is left: doc_id, n_tokens, ids_sha256, decoded_sha256. A null text counts as empty."""
-    return bpe_digest(docs, MULTI_RANKS)
+    """Byte-level BPE of each document that is left: doc_id, n_tokens, ids_sha256, decoded_sha256. A null text counts as empty.
+
+    Written here, in small Arrow batches: what workers and executors kept from the stages before leaves little room.
+    """
+    return materialise(bpe_digest(docs, MULTI_RANKS), "encoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -25,11 +25,11 @@ _LOOSE_SPACE = re.compile(r" (?:[\s\x1c-\x1f\x85]|\Z)")
 #: Characters that are pre-tokens by themselves at the end of a word.
 _STOPS = frozenset(".,;:!?")
 #: Bytes of text whose cuts are encoded together, and of text whose ids are laid out together.
-GROUP, LAYOUT = 1 << 23, 1 << 20
+GROUP, LAYOUT = 1 << 22, 1 << 19
 #: Pieces with more bytes than this have a rank queue each, and so have pieces of which there are fewer than this.
 LONG, FEW = 64, 4000
 #: Cuts that are encoded together.
-BLOCK = 1 << 16
+BLOCK = 1 << 15
 
 
 class BytePairs:
@@ -379,7 +379,7 @@ class TextEncoder:
 
 
 #: Cuts that a worker remembers within a task; it forgets them when the task ends, since other stages run in the same worker.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 _encoders: dict[str, tuple[BytePairs, TextEncoder, list[str]]] = {}
 
