@@ -22,3 +22,22 @@ def test_hubs_are_looked_up(spark, monkeypatch):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_workers_give_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    work = common.giving_back(lambda batches: (x + 1 for x in batches))
+    assert list(work(iter([1, 2]))) == [2, 3] and calls == [1]
+    early = work(iter([1, 2]))
+    next(early)
+    early.close()
+    assert calls == [1, 1]
+
+
+def test_the_last_stage_is_written(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    found = corpus_pipeline.encode(spark, docs, sf)
+    assert found.count() == 20 and all("/wavemill/encoded-" in name for name in found.inputFiles())
