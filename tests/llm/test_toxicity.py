@@ -151,3 +151,34 @@ def test_rows_that_share_an_id_are_one_in_the_sample(spark, sf):
     again = docs.unionByName(docs.where("doc_id < 40")).unionByName(docs.where("doc_id < 40"))
     one, two = fit_toxicity(docs, labels, sample_rows=50), fit_toxicity(again, labels, sample_rows=50)
     assert (one.classifier.kernels[0] == two.classifier.kernels[0]).all() and one.classifier.bias == two.classifier.bias
+
+
+def test_all_labelled_documents_are_learned_from(spark):
+    """A toxic word that only documents beyond the first 3,000 of a label hold."""
+    n = 7600
+    draw = spark.range(n).select("id", F.xxhash64(F.lit(7), "id").alias("draw"), (F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(5)) != 0).alias("known")).orderBy("draw").collect()
+    toxic = [r.id for r in draw if r.id % 2 and r.known]
+    assert len(toxic) > 3010
+    late = set(toxic[3000:])
+    docs = [(k, f"ba ko {'mi' if k % 2 == 0 else 'zornig' if k in late else 'grubbish'} tu", "aa") for k in range(n)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    model = fit_toxicity(frame, spark.createDataFrame([(k, k % 2) for k in range(n)], "doc_id bigint, toxic int"))
+    assert score_toxicity(spark.createDataFrame([(1, "ba zornig tu")], "doc_id bigint, text string"), model).first().predicted == 1
+
+
+def test_several_shards_learn_as_one(spark, monkeypatch):
+    rows = made(1500, 5)
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD", 300)
+    one, two = fit_toxicity(docs, labels), fit_toxicity(docs.repartition(7), labels)
+    assert np.array_equal(one.classifier.embeddings, two.classifier.embeddings) and np.array_equal(one.thresholds, two.thresholds)
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs, one).collect()}
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert sum(got[r[0]] == r[3] for r in held) >= 0.97 * len(held)
+
+
+def test_changes_are_averaged_over_the_shards_that_have_them():
+    part = lambda shard, texts, place, change: {"block": 0, "shard": shard, "texts": texts, "place": np.array(place, np.int32).tobytes(), "change": np.array(change, np.float32).tobytes()}
+    mean = toxicity._mean_change(pa.Table.from_pylist([part(1, 30, [4, 9], [1, 2]), part(0, 10, [9], [6])])).to_pylist()
+    assert len(mean) == 1 and np.frombuffer(mean[0]["place"], np.int32).tolist() == [4, 9] and np.frombuffer(mean[0]["change"], np.float32).tolist() == [1, 3]
