@@ -228,6 +228,15 @@ def test_data_without_proof_count_for_nothing(spark, tmp_path):
     assert ingest.sweep(spark, str(target)) == [proof.name] and ingest.ingested(spark, str(target)).count() == 9
 
 
+def test_a_commit_has_files_by_task_not_by_record(spark, tmp_path):
+    manifest, contents = files(spark, 300)
+    target = tmp_path / "t"
+    ingest.ingest(manifest, contents, str(target), batches=2)
+    assert ingest.ingested(spark, str(target)).count() == 300
+    written = [x for x in (target / "data").rglob("*") if x.is_dir() or x.suffix == ".parquet"]
+    assert len([x for x in written if x.is_dir()]) == 2 and len(written) <= 2 + 2 * 8
+
+
 def test_damaged_missing_and_drifted_files_are_not_proven(spark, tmp_path):
     manifest, contents = files(spark, 12, damage=("f4",))
     target = str(tmp_path / "t")

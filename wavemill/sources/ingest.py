@@ -21,11 +21,14 @@ def proven_files(spark: SparkSession, target: str) -> DataFrame:
 
 
 def ingested(spark: SparkSession, target: str) -> DataFrame:
-    """Contents of proven records: record_id, path, content, commit. What a killed run left without proof isn't among them."""
-    if not exists(spark, f"{target}/data"):
-        return spark.createDataFrame([], DATA)
+    """Contents of proven records: record_id, path, content, commit. What a killed run left without proof isn't among them: only
+    folders of commits with proofs are read."""
     proof = proven_files(spark, target).select("commit", "record_id", "path")
-    return spark.read.schema(DATA).parquet(f"{target}/data").join(proof, ["commit", "record_id", "path"], "left_semi").select("record_id", "path", "content", "commit")
+    folders = [f"{target}/data/commit={r['commit']}" for r in proof.select("commit").distinct().collect()]
+    if not folders:
+        return spark.createDataFrame([], DATA)
+    data = spark.read.schema(DATA).option("basePath", f"{target}/data").parquet(*folders)
+    return data.join(proof, ["commit", "record_id", "path"], "left_semi").select("record_id", "path", "content", "commit")
 
 
 def ingest(manifest: DataFrame, contents: DataFrame, target: str, batches: int = 1) -> DataFrame:
@@ -35,9 +38,10 @@ def ingest(manifest: DataFrame, contents: DataFrame, target: str, batches: int =
     the plan fetches. A record is fetched if none of its files is proven; one that is proven but differs from the manifest
     has drifted, is reported and left alone, as are its files.
 
-    Each of ``batches`` parts of the records is a commit of two writes: first the contents, in a folder of the commit and in a
-    folder for each record, and then, after these were read back and digested again, the proof of the records of which every
-    file is there once with the stated size and digest. A run that is killed, at any place, leaves either a whole proof or
+    Each of ``batches`` parts of the records is a commit of two writes: first the contents, in a folder of the commit, and then,
+    after these were read back and digested again, the proof of the records of which every file is there once with the stated
+    size and digest. A commit has a file for each task, with all the task's records, so that the driver, which lists a commit's
+    files, needs no memory for records. A run that is killed, at any place, leaves either a whole proof or
     none, since Spark's writers make files visible only when a job ends; data without proof are never read and don't stop the
     next run, which fetches them again. Only records that are not proven yet are written. Commits differ in their folders, so no run
     touches another's. Null record ids and paths are no files.
@@ -58,7 +62,7 @@ def ingest(manifest: DataFrame, contents: DataFrame, target: str, batches: int =
 def _commit(wanted: DataFrame, contents: DataFrame, target: str, commit: str) -> None:
     spark, data = wanted.sparkSession, f"{target}/data/commit={commit}"
     found = wanted.select("record_id", "path").join(contents.where("path is not null").select("path", "content"), "path")
-    found.select("record_id", "path", "content").write.partitionBy("record_id").parquet(data)
+    found.select("record_id", "path", "content").write.parquet(data)
     there = spark.read.schema("record_id string, path string, content binary").parquet(data)
     seen = there.select("path", F.octet_length("content").cast("long").alias("size"), F.sha2("content", 256).alias("digest"))
     seen = seen.groupBy("path").agg(F.count(F.lit(1)).alias("times"), F.min("size").alias("size"), F.min("digest").alias("digest"))
