@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from wavemill.operators.lineage import read_partition, verify_lineage
 from wavemill.operators.metrics import confusion_matrix, overall_metrics
 from wavemill.operators.quality import require_none, verify_counts
+from wavemill.sources.scratch import shared_path
 
 
 @dataclass(frozen=True)
@@ -216,22 +216,101 @@ def predict(model, rows: DataFrame, vector: str = "window", label: str = "target
     return scored.withColumns({"label": F.col(label).cast("int"), "prediction": F.col("prediction").cast("int")}).drop("features", "rawPrediction", "probability")
 
 
-def depth_sweep(train: DataFrame, validation: DataFrame, depths: Sequence[int], vector: str = "window", label: str = "target_value", trees: int = 20, parallel: int = 4) -> DataFrame:
+@dataclass(frozen=True)
+class TreeNodes:
+    """Nodes of all trees of a forest, the children of node v at ``left[v]`` and ``right[v]`` (v itself: a leaf), class counts of
+    the rows that reach each, and ``until``: the deepest limit on the depth at which a node is, or is merged into, a leaf."""
+
+    roots: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    counts: np.ndarray
+    until: np.ndarray
+
+    def predictions(self, x: np.ndarray, depths: Sequence[int]) -> Iterator[np.ndarray]:
+        """Classes of the rows of ``x`` by the forest cut at each of the ascending ``depths``: the largest sum, over trees in
+        order, of class shares in the node that a row ends in."""
+        at = np.repeat(self.roots[:, None], len(x), axis=1)
+        for depth in depths:
+            votes = np.zeros((len(x), self.counts.shape[1]))
+            for place in at:
+                while len(go := np.flatnonzero(self.until[place] < depth)):
+                    node = place[go]
+                    place[go] = np.where(x[go, self.feature[node]] <= self.threshold[node], self.left[node], self.right[node])
+                share = self.counts[place].astype(np.float64)
+                votes += share / share.sum(axis=1, keepdims=True)
+            yield votes.argmax(axis=1)
+
+
+def tree_nodes(forest) -> TreeNodes:
+    """The nodes of a fitted MLlib forest, from its own saved form."""
+    spark = SparkSession.active()
+    forest.write().save(path := shared_path(spark, "forest"))
+    rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    rows = rows.select("treeID", "id", "prediction", F.col("impurityStats").cast("array<float>").alias("counts"), "leftChild", "rightChild", F.col("split.featureIndex").alias("feature"), F.coalesce(F.get("split.leftCategoriesOrThreshold", F.lit(0)), F.lit(0.0)).alias("threshold"))
+    found = rows.toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")]).combine_chunks()
+    tree, own, left, right = (found[c].to_numpy() for c in ("treeID", "id", "leftChild", "rightChild"))
+    first = np.searchsorted(tree, np.arange(tree[-1] + 1))
+    leaf, here = left < 0, np.arange(len(tree))
+    if (own != here - first[tree]).any():
+        raise ValueError("nodes of a tree are not numbered from 0")
+    left, right = np.where(leaf, here, first[tree] + left), np.where(leaf, here, first[tree] + right)
+    level, some = np.zeros(len(tree), np.int32), first
+    levels = []
+    while len(some := some[~leaf[some]]):
+        levels.append(some)
+        level[left[some]] = level[right[some]] = level[some] + 1
+        some = np.concatenate([left[some], right[some]])
+    # MLlib merges two leaves of one prediction, at any limit on the depth
+    prediction, until = found["prediction"].to_numpy(), np.where(leaf, np.iinfo(np.int32).max, level).astype(np.int32)
+    for some in reversed(levels):
+        alike = some[prediction[left[some]] == prediction[right[some]]]
+        until[alike] = np.minimum(until[left[alike]], until[right[alike]])
+    counts = np.asarray(found["counts"].combine_chunks().flatten()).reshape(len(tree), -1)
+    return TreeNodes(first, left.astype(np.int32), right.astype(np.int32), found["feature"].to_numpy().astype(np.int32), found["threshold"].to_numpy(), counts, until)
+
+
+def _accuracies(rows: DataFrame, nodes: TreeNodes, depths: Sequence[int], vector: str, label: str) -> dict[int, float | None]:
+    """Accuracy of a forest cut at each depth, in one pass."""
+    shared = rows.sparkSession.sparkContext.broadcast(nodes)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                truth = np.asarray(batch.column(0))
+                x = np.asarray(batch.column(1).flatten()).reshape(len(truth), -1)
+                hits = [int((found == truth).sum()) for found in shared.value.predictions(x, depths)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(depths), pa.int32()), pa.array(hits, pa.int64()), pa.array([len(truth)] * len(hits), pa.int64())], ["depth", "hits", "n"])
+
+    pairs = rows.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("label"), F.col(vector).cast("array<double>").alias("vector"))
+    found = pairs.mapInArrow(judged, "depth int, hits bigint, n bigint").groupBy("depth").agg(F.sum("hits") / F.sum("n"))
+    return dict.fromkeys(depths) | dict(map(tuple, found.collect()))
+
+
+def depth_sweep(train: DataFrame, validation: DataFrame, depths: Sequence[int], vector: str = "window", label: str = "target_value", trees: int = 20) -> DataFrame:
     """Accuracy by depth on both parts, and the gap between: depth, train_accuracy, validation_accuracy, gap.
 
-    ``parallel`` depths are fitted at a time over the same cached rows, so that jobs of one fill the cores that another leaves
-    idle. Both accuracies are null on an empty part, and so is the gap.
+    One forest is fitted, at the largest depth, on all training rows. A tree grows from its root, and no split looks at those
+    below it, so the forest of a smaller depth is this one cut there: nodes at that depth become leaves, and leaves of one
+    prediction are merged as MLlib does. (MLlib draws a node's features in the order in which it visits nodes, so a fit at a
+    smaller depth draws others where it doesn't take all of them.) All depths are judged in one pass over each part. Both
+    accuracies are null on an empty part, and so is the gap.
     """
+    depths, deepest = list(depths), max(depths)
     train, validation = train.cache(), validation.cache()
-    accuracy = lambda df: df.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-
-    def row(depth: int) -> tuple:
-        model = fit_forest(train, vector, label, depth=depth, trees=trees)
-        a, b = accuracy(predict(model, train, vector, label)), accuracy(predict(model, validation, vector, label))
-        return depth, a, b, None if a is None or b is None else a - b
-
-    train.count(), validation.count()  # each is read once, before the fits share it
-    with ThreadPoolExecutor(max(1, parallel)) as pool:
-        rows = list(pool.map(row, depths))
+    forest = fit_forest(train, vector, label, depth=deepest, trees=trees)
+    parts = []
+    for rows in (train, validation):
+        whole = predict(forest, rows, vector, label).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+        parts.append({deepest: whole})
+    smaller = sorted({d for d in depths if d < deepest})
+    if smaller:
+        nodes = tree_nodes(forest)
+        for rows, found in zip((train, validation), parts, strict=True):
+            found |= _accuracies(rows, nodes, smaller, vector, label)
     train.unpersist(), validation.unpersist()
+    gap = lambda a, b: None if a is None or b is None else a - b
+    rows = [(d, parts[0][d], parts[1][d], gap(parts[0][d], parts[1][d])) for d in depths]
     return train.sparkSession.createDataFrame(rows, "depth int, train_accuracy double, validation_accuracy double, gap double")
